@@ -44,7 +44,7 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def planned_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate; for plain files this is at least the file size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread: Column) -> DataFrame:
