@@ -64,7 +64,7 @@ PAYLOAD_FIELDS = {
 }
 
 # The raw transaction log, before any feature is added.
-RAW_TRANSACTIONS = T.StructType.fromDDL(
+RAW_TRANSACTIONS = (
     "step int, type string, amount double, nameOrig string, oldbalanceOrg double, "
     "newbalanceOrig double, nameDest string, oldbalanceDest double, newbalanceDest double, "
     "isFraud int, isFlaggedFraud int"
