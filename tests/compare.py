@@ -19,6 +19,13 @@ TABLES = (
 ).split()
 
 
+#: twin type -> Spark type
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+    "TIMESTAMP": "timestamp_ntz", "DATE": "date", "BOOLEAN": "boolean",
+}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -34,6 +41,11 @@ def differences(spark_df, con, sql: str) -> str | None:
     if sorted(got) != names:
         return f"columns {names} vs {sorted(got)}"
     order = [got.index(n) for n in names]
+    spark_types = dict(spark_df.dtypes)
+    twin_types = {d[0]: str(d[1]) for d in cursor.description}
+    odd = {n: (spark_types[n], twin_types[n]) for n in names if TYPES.get(twin_types[n]) != spark_types[n]}
+    if odd:
+        return f"types {odd}"
     theirs = [tuple(r[i] for i in order) for r in cursor.fetchall()]
     ours = [tuple(r) for r in spark_df.select(*names).collect()]
     if len(ours) != len(theirs):

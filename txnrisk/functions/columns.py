@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MICROS = 1_000_000
+ORIGIN = "1970-01-01 00:00:00"
 
 # Calendar of the simulated step counter.
 EPOCH = "2023-01-01 00:00:00"
@@ -30,26 +31,32 @@ ZONED_TIME = r"([zZ]|[+-]\d{2}:?\d{2})$"
 
 
 def micros(ts: Column) -> Column:
-    """Microseconds since 1970 of a zone-less timestamp, whatever the session zone."""
-    seconds = F.hour(ts) * 3600 + F.minute(ts) * 60
-    fraction = (F.extract(F.lit("SECOND"), ts) * MICROS).cast("bigint")
-    return (F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + seconds) * MICROS + fraction
+    """Microseconds since 1970 of a zone-less timestamp, whatever the session zone.
+
+    ``ts`` occurs once in the expression, so nesting does not multiply it.
+    """
+    since = (ts - F.expr(f"timestamp_ntz'{ORIGIN}'")).cast("interval second")
+    return (since.cast("decimal(20,6)") * MICROS).cast("bigint")
 
 
 def from_micros(us: Column) -> Column:
     """Inverse of :func:`micros`."""
-    days = F.floor(us / F.lit(86400 * MICROS)).cast("int")
-    rest = us - days.cast("bigint") * (86400 * MICROS)
-    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(
-        days, F.lit(0), F.lit(0), (rest / MICROS).cast("decimal(18,6)")
-    )
+    seconds = us.cast("decimal(18,0)") * F.expr("0.000001")
+    return F.expr(f"timestamp_ntz'{ORIGIN}'") + _seconds(seconds)
+
+
+def _seconds(amount: Column) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), amount.cast("decimal(18,6)"))
+
+
+def whole_second(ts: Column) -> Column:
+    """``ts`` without its fraction of a second."""
+    return ts - _seconds(F.extract(F.lit("SECOND"), ts) % 1)
 
 
 def plus_seconds(ts: Column, seconds: Column | int) -> Column:
     seconds = seconds if isinstance(seconds, Column) else F.lit(seconds)
-    return ts + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)")
-    )
+    return ts + _seconds(seconds)
 
 
 def strict_time(text: Column) -> Column:

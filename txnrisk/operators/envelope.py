@@ -73,10 +73,14 @@ def routing_attributes(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
-    """Parse the body once. Adds ``envelope``; NULL parts mean an unusable message."""
-    schema = envelope_schema()
+    """Parse the body once. Adds ``envelope``; NULL parts mean an unusable message.
+
+    The parsed value comes out of a one-element array: later filters are not
+    pushed below that, where each condition would parse the body again.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    return df.withColumn("envelope", F.from_json(body, schema, options))
+    parsed = F.from_json(body, envelope_schema(), options)
+    return df.select("*", F.explode(F.array(parsed)).alias("envelope"))
 
 
 def is_dead_letter() -> Column:

@@ -43,6 +43,7 @@ def with_history(
     amount: str | None = None,
     latest: str | None = None,
     widths: tuple[int, ...] = (),
+    totals: bool = True,
     block_seconds: int = BLOCK_SECONDS,
 ) -> DataFrame:
     """Add what each row's key did before it, in the order (ts, md5(seq), seq).
@@ -51,7 +52,8 @@ def with_history(
     ``h_sum`` amount before (``amount`` given) · ``h_max_us`` largest ``latest``
     before (given) · per width w in seconds: ``h_w{w}`` events before in
     [t - w, t], ``h_t{w}`` distinct times in [t - w, t], t included.
-    Rows without a time get NULLs and count for nobody.
+    Rows without a time get NULLs and count for nobody. ``totals=False`` gives the
+    range counts only, which need nothing from earlier blocks.
     """
     # NULL keys form one group of their own, under a text no id has
     group = F.coalesce(F.col(key).cast("string"), F.lit("\u2205"))
@@ -67,25 +69,23 @@ def with_history(
     )
     size = F.lit(block_seconds * MICROS)
     cells = (
-        rows.where("h_us IS NOT NULL")
+        rows.where(F.col(ts).isNotNull())
         .groupBy(
             F.col("h_key").alias("c_key"), F.col("h_us").alias("c_us"), F.col("h_slot").alias("c_slot")
         )
         .agg(F.count("*").alias("c_n"), F.sum("h_amt").alias("c_amt"), F.max("h_lat").alias("c_lat"))
         .select("*", _block_of(F.col("c_us"), size).alias("c_block"))
     )
-    state = (
-        _cell_prefixes(cells, widths, size)
-        .join(_block_carry(cells), ["c_key", "c_block"], "left")
-        .select(
-            F.col("c_key").alias("h_key"), F.col("c_us").alias("h_us"), F.col("c_slot").alias("h_slot"),
-            (F.coalesce("b_n", F.lit(0)) + F.col("p_n")).alias("s_n"),
-            (F.coalesce("b_amt", F.lit(0)) + F.col("p_amt")).alias("s_amt"),
-            F.greatest("b_us", "p_us").alias("s_us"),
-            F.greatest("b_lat", "p_lat").alias("s_lat"),
-            *[f"{kind}{w}" for w in widths for kind in ("s_w", "s_t")],
-        )
-    )
+    state = _cell_prefixes(cells, widths, size)
+    columns = {"h_key": F.col("c_key"), "h_us": F.col("c_us"), "h_slot": F.col("c_slot")}
+    columns |= {f"{kind}{w}": F.col(f"{kind}{w}") for w in widths for kind in ("s_w", "s_t")}
+    if totals:
+        state = state.join(_block_carry(cells), ["c_key", "c_block"], "left")
+        columns["s_n"] = F.coalesce("b_n", F.lit(0)) + F.col("p_n")
+        columns["s_amt"] = F.coalesce("b_amt", F.lit(0)) + F.col("p_amt")
+        columns["s_us"] = F.greatest("b_us", "p_us")
+        columns["s_lat"] = F.greatest("b_lat", "p_lat")
+    state = state.select(*[value.alias(name) for name, value in columns.items()])
     # rows and cells meet on the cell, the grouping the row-level rank needs anyway
     in_cell = Window.partitionBy("h_key", "h_us", "h_slot").orderBy("h_tie", seq)
     before = in_cell.rowsBetween(_FIRST, -1)
@@ -95,15 +95,17 @@ def with_history(
         F.coalesce(F.sum("h_amt").over(before), F.lit(0)).alias("h_cell_amt"),
         F.max("h_lat").over(before).alias("h_cell_lat"),
     )
-    return ranked.select(
-        *df.columns,
-        (F.col("s_n") + F.col("h_rank")).alias("h_n"),
-        F.when(F.col("h_rank") > 0, F.col("h_us")).otherwise(F.col("s_us")).alias("h_prev_us"),
-        (F.col("s_amt") + F.col("h_cell_amt")).alias("h_sum"),
-        F.greatest("s_lat", "h_cell_lat").alias("h_max_us"),
-        *[(F.col(f"s_w{w}") + F.col("h_rank")).alias(f"h_w{w}") for w in widths],
-        *[F.col(f"s_t{w}").alias(f"h_t{w}") for w in widths],
-    )
+    out = [(F.col(f"s_w{w}") + F.col("h_rank")).alias(f"h_w{w}") for w in widths]
+    out += [F.col(f"s_t{w}").alias(f"h_t{w}") for w in widths]
+    if totals:
+        previous = F.when(F.col("h_rank") > 0, F.col("h_us")).otherwise(F.col("s_us"))
+        out += [
+            (F.col("s_n") + F.col("h_rank")).alias("h_n"),
+            previous.alias("h_prev_us"),
+            (F.col("s_amt") + F.col("h_cell_amt")).alias("h_sum"),
+            F.greatest("s_lat", "h_cell_lat").alias("h_max_us"),
+        ]
+    return ranked.select(*df.columns, *out)
 
 
 def _block_of(us: Column, size: Column) -> Column:
@@ -193,7 +195,7 @@ def velocity_prior(
     The lower bound is inclusive, the current event is not counted, and among
     events of one instant only those ordered before it are.
     """
-    out = with_history(df, key=key, ts=ts, seq=seq, widths=tuple(windows.values()))
+    out = with_history(df, key=key, ts=ts, seq=seq, widths=tuple(windows.values()), totals=False)
     counts = [F.col(f"h_w{w}").cast("int").alias(name) for name, w in windows.items()]
     return out.select(*df.columns, *counts)
 
@@ -202,7 +204,7 @@ def velocity_live(
     df: DataFrame, windows: dict[str, int], key="customer_id", ts="event_time", seq="event_id"
 ) -> DataFrame:
     """Distinct event times of the same key within each window, the current one included."""
-    out = with_history(df, key=key, ts=ts, seq=seq, widths=tuple(windows.values()))
+    out = with_history(df, key=key, ts=ts, seq=seq, widths=tuple(windows.values()), totals=False)
     counts = [F.col(f"h_t{w}").cast("int").alias(name) for name, w in windows.items()]
     return out.select(*df.columns, *counts)
 

@@ -191,32 +191,32 @@ def label_check(source: DataFrame, silver: DataFrame) -> DataFrame:
     """
     labels = ["is_fraud", "is_flagged_fraud"]
 
-    def side(df: DataFrame, name: str) -> DataFrame:
-        row = F.struct(*labels)
-        other = {"src": "slv", "slv": "src"}[name]
-        return df.select("event_id", row.alias(name), F.lit(None).cast(row_type).alias(other)).select(
-            "event_id", "src", "slv"
-        )
-
-    row_type = "struct<is_fraud:int,is_flagged_fraud:int>"
-    both = side(source, "src").unionByName(side(silver, "slv"))
-    per_id = both.groupBy("event_id").agg(
-        F.max("src").alias("src"), F.min("src").alias("src_low"), F.max("slv").alias("slv")
+    def side(df: DataFrame, mine: str) -> DataFrame:
+        columns = [
+            (F.col(c) if name == mine else F.lit(None)).cast("int").alias(f"{name}_{c}")
+            for name in ("src", "slv") for c in labels
+        ]
+        return df.select("event_id", F.lit(int(mine == "src")).alias("in_src"), *columns)
+
+    stacked = side(source, "src").unionAll(side(silver, "slv"))
+    bounds = [
+        agg(f"{name}_{c}").alias(f"{kind}_{name}_{c}")
+        for name in ("src", "slv") for c in labels for kind, agg in (("lo", F.min), ("hi", F.max))
+    ]
+    per_id = stacked.groupBy("event_id").agg(
+        F.max("in_src").alias("in_src"), F.max(1 - F.col("in_src")).alias("in_slv"), *bounds
     )
-    in_both = F.col("src").isNotNull() & F.col("slv").isNotNull()
-    wrong = {
-        c: F.count_if(
-            in_both
-            & ~(F.col(f"src.{c}").eqNullSafe(F.col(f"slv.{c}"))
-                & F.col(f"src_low.{c}").eqNullSafe(F.col(f"slv.{c}")))
-        ).alias(f"{c}_mismatches")
-        for c in labels
-    }
+    both = (F.col("in_src") == 1) & (F.col("in_slv") == 1)
+
+    def differs(c: str) -> Column:
+        same = [F.col(f"{k}_src_{c}").eqNullSafe(F.col(f"{k}_slv_{c}")) for k in ("lo", "hi")]
+        return F.count_if(both & ~(same[0] & same[1])).alias(f"{c}_mismatches")
+
     return per_id.agg(
-        F.count_if(in_both).alias("compared"),
-        F.count_if(F.col("slv").isNull()).alias("only_in_source"),
-        F.count_if(F.col("src").isNull()).alias("only_in_silver"),
-        *wrong.values(),
+        F.count_if(both).alias("compared"),
+        F.count_if(F.col("in_slv") == 0).alias("only_in_source"),
+        F.count_if(F.col("in_src") == 0).alias("only_in_silver"),
+        *[differs(c) for c in labels],
     )
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.operators import gold as G
-from txnrisk.operators.envelope import flatten, is_dead_letter, message_status, parse_envelope, parse_times
-from txnrisk.operators.silver import VALID, quarantine_reasons, split_valid, to_silver
+from txnrisk.operators.envelope import flatten, message_status, parse_times
+from txnrisk.operators.silver import VALID, quarantine_reasons, to_silver
 from txnrisk.schema import GOLD_TABLES
 from txnrisk.sources import files
 
@@ -33,6 +33,20 @@ def typed_rows(messages: DataFrame) -> DataFrame:
     return parse_times(flatten(messages, keep=["status"]))
 
 
+# the first three have an output of their own
+OUTCOMES = ["valid", "corrupted", "dead_letter", "skipped"]
+
+
+def classified_rows(messages: DataFrame) -> DataFrame:
+    """Typed rows with their ``outcome``; only a dead letter keeps its body."""
+    status = message_status(messages)
+    dead = F.when(F.col("status") == "dead_letter", F.col("body")).alias("body")
+    rows = parse_times(flatten(status.withColumns({"body": dead}), keep=["status", "body"]))
+    valid = F.coalesce(F.expr(VALID), F.lit(False))
+    outcome = F.when(F.col("status") != "parsed", F.col("status")).when(valid, "valid")
+    return rows.withColumn("outcome", outcome.otherwise("corrupted")).drop("status")
+
+
 def gold_frames(silver: DataFrame, run_date: str, location: str = "", database: str = "") -> dict[str, DataFrame]:
     """All Gold tables over a Silver table."""
     return {
@@ -48,32 +62,25 @@ def bronze_to_silver(spark: SparkSession, bronze: str, out: str, run_ts: str, ru
     """Parse, quarantine, de-duplicate and write Silver; returns the run counters."""
     messages = files.read_bronze(spark, bronze)
     require_rows(messages, bronze)
+    # The raw text is read and parsed once: typed rows are staged by outcome, and
+    # each output then reads only its own folder and columns.
+    staging = f"{out}/staging/run_id={run_id}"
     seen, written = Observation(), Observation()
-    status = message_status(messages)
-    valid = (F.col("status") == "parsed") & F.coalesce(F.expr(VALID), F.lit(False))
-
-    def counted(name: str, test: Column) -> Column:
-        return F.count_if(test).alias(name)
-
-    rows = typed_rows(status).observe(
-        seen,
-        F.count(F.lit(1)).alias("input"),
-        counted("dead_letters", F.col("status") == "dead_letter"),
-        counted("skipped", F.col("status") == "skipped"),
-        counted("valid", valid),
-        counted("corrupted", (F.col("status") == "parsed") & ~valid),
-    )
-    good, _ = split_valid(rows.where("status = 'parsed'").drop("status"))
-    silver = to_silver(good, run_ts).observe(written, F.count(F.lit(1)).alias("output"))
+    outcome = F.col("outcome")
+    counts = [F.count_if(outcome == name).alias(name) for name in OUTCOMES]
+    staged = classified_rows(messages).observe(seen, F.count(F.lit(1)).alias("input"), *counts)
+    staged.write.mode("overwrite").partitionBy("outcome").parquet(staging)
+
+    rows = spark.read.schema(staged.schema).parquet(staging)
+    good, bad, dead = [rows.where(outcome == n).drop("outcome") for n in OUTCOMES[:3]]
+    silver = to_silver(good.drop("body"), run_ts).observe(written, F.count(F.lit(1)).alias("output"))
     files.write_silver(silver, f"{out}/silver")
-
-    _, bad = split_valid(parse_envelope(messages))
-    files.write_quarantine(quarantine_reasons(bad), f"{out}/quarantine", run_id)
-    unreadable = status.where(is_dead_letter()).select("body")
-    unreadable.write.mode("overwrite").text(f"{out}/dead_letters/run_id={run_id}")
-    counts = {**seen.get, **written.get}
-    counts["duplicates_removed"] = counts["valid"] - counts["output"]
-    return counts
+    files.write_quarantine(quarantine_reasons(bad.drop("body")), f"{out}/quarantine", run_id)
+    dead.select("body").write.mode("overwrite").text(f"{out}/dead_letters/run_id={run_id}")
+    files.remove(spark, staging)
+    result = {**seen.get, **written.get}
+    result["duplicates_removed"] = result["valid"] - result["output"]
+    return result
 
 
 def silver_to_gold(

@@ -188,26 +188,26 @@ def base(spark, sf_dir):
 
 
 def velocity_prior(spark, sf_dir):
-    out = history.velocity_prior(base(spark, sf_dir), {"v5": 300, "v1h": 3600})
+    out = history.velocity_prior(sample_tables.keyed_events(spark, sf_dir), {"v5": 300, "v1h": 3600})
     return out.select("event_id", "v5", "v1h")
 
 
 def velocity_day(spark, sf_dir):
-    return history.velocity_prior(base(spark, sf_dir), {"v_day": DAY}).select("event_id", "v_day")
+    return history.velocity_prior(sample_tables.keyed_events(spark, sf_dir), {"v_day": DAY}).select("event_id", "v_day")
 
 
 def velocity_live(spark, sf_dir):
-    out = history.velocity_live(base(spark, sf_dir), {"v5": 300, "v1h": 3600, "v_day": DAY})
+    out = history.velocity_live(sample_tables.keyed_events(spark, sf_dir), {"v5": 300, "v1h": 3600, "v_day": DAY})
     return out.select("event_id", "v5", "v1h", "v_day")
 
 
 def lifetime(spark, sf_dir):
-    out = history.lifetime(base(spark, sf_dir))
+    out = history.lifetime(sample_tables.keyed_events(spark, sf_dir))
     return out.select("event_id", "lifetime_tx_count", "lifetime_spend")
 
 
 def days_since_last(spark, sf_dir):
-    return history.days_since_last(base(spark, sf_dir)).select("event_id", "days_since_last_tx")
+    return history.days_since_last(sample_tables.keyed_events(spark, sf_dir)).select("event_id", "days_since_last_tx")
 
 
 def geo_anomaly(spark, sf_dir):
@@ -446,7 +446,7 @@ def gbt_scores(spark, sf_dir):
 
 
 def sliding_counts(spark, sf_dir):
-    counts = online.sliding_counts(base(spark, sf_dir))
+    counts = online.sliding_counts(sample_tables.keyed_events(spark, sf_dir))
     return counts.select("customer_id", "window_start", "events")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,12 +44,10 @@ def read_silver(
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet table that may not have been written yet."""
-    try:
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if root.getFileSystem(spark._jsc.hadoopConfiguration()).exists(root):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def sample_stream(df: DataFrame, n: int) -> DataFrame:
@@ -164,6 +161,12 @@ def promote_bronze(spark: SparkSession, source: str, target: str) -> dict[str, i
     return {**seen.get, "errors": 0}
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this job wrote for itself."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def drop_partitions_before(spark: SparkSession, path: str, column: str, first_kept: str) -> int:
     """Delete partition folders ``column=value`` with a smaller value (text order)."""
     jvm = spark._jvm

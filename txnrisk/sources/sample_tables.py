@@ -20,7 +20,7 @@ TYPES = {
     "purchase": "PAYMENT", "click": "CASH_OUT", "view": "DEBIT", "signup": "CASH_IN",
     "error": "TRANSFER",
 }
-FIXTURE_EPOCH_HOURS = 1704067200 // 3600
+FIXTURE_EPOCH = "2024-01-01"
 BAD_TIME = "CORRUPTED_TIMESTAMP_9999-99-99"
 PRODUCER = "producer-1"
 
@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def keyed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Who, when and how much: the columns of a transaction no dimension is needed for."""
+    n = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        F.concat(F.lit("EVT-"), F.lpad(n.cast("string"), 16, "0")).alias("event_id"),
+        C.whole_second(F.col("ts")).alias("event_time"),
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("customer_id"),
+        F.col("value").alias("amount"),
+    )
+
+
 def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per event with its customer and merchant attributes, before
     features and before any fault."""
@@ -40,7 +51,7 @@ def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("props", "([0-9]+)", 1).cast("int").alias("k"),
         F.col("value"),
         kind[F.col("event_type")].alias("transaction_type"),
-        C.micros(F.col("ts")).alias("us"),
+        C.whole_second(F.col("ts")).alias("event_time"),
     )
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     home = nation.select(
@@ -66,8 +77,6 @@ def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     ):
         ev = join_dimension(ev, dim, key, n)
 
-    second = F.col("us") - F.pmod("us", F.lit(C.MICROS))
-    event_time = C.from_micros(second)
     delay = F.when(n % 50 == 0, 300 + 60 * (n % 355)).otherwise(n % 30)
     transfer = F.col("transaction_type") == "TRANSFER"
     fraud = transfer & (k >= 75)
@@ -75,12 +84,13 @@ def base_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer_id = F.concat(F.lit("C"), F.col("user_id").cast("string"))
     slot = (F.col("user_id") % 3).cast("int")
     moved = F.round(F.col("c_acctbal") - F.col("value"), 2)
-    step = (F.floor(F.col("us") / F.lit(3600 * C.MICROS)) - FIXTURE_EPOCH_HOURS + 1).cast("int")
+    days = F.date_diff(F.to_date("event_time"), F.lit(FIXTURE_EPOCH).cast("date"))
+    step = days * 24 + F.hour("event_time") + 1
     ip = F.concat_ws(
         ".", F.lit("10"), (F.col("user_id") / 65536 % 256).cast("int"),
         (F.col("user_id") / 256 % 256).cast("int"), (F.col("user_id") % 256).cast("int"),
     )
-    rows = ev.select("*", step.alias("step"), event_time.alias("event_time"))
+    rows = ev.select("*", step.alias("step"))
     risk = F.when(n % 33 == 0, None).otherwise(k / 100)
     return rows.select(
         "n", "k",

@@ -11,14 +11,13 @@ only what smaller ids wrote, so a repeated batch gives the same result.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txnrisk.functions.columns import MICROS, micros
 from txnrisk.operators import envelope, history, ledger, rules, silver
 from txnrisk.operators.quality import processing_stats
 from txnrisk.sources.files import by_partition, drop_partitions_before, read_or_empty
@@ -30,7 +29,7 @@ LATENESS = "6 hours"
 DEDUP_HORIZON = "24 hours"
 
 LEDGER_SCHEMA = "event_id string, processed_at timestamp_ntz, processed_date date, batch_id bigint"
-TIMES_SCHEMA = "customer_id string, event_time timestamp_ntz, event_hour bigint, batch_id bigint"
+TIMES_SCHEMA = "customer_id string, event_time timestamp_ntz, event_date date, batch_id bigint"
 
 
 def read_stream(
@@ -98,12 +97,6 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> Streamin
 # ---------------------------------------------------------------- live velocity over stored times
 
 
-def event_hour(ts: Column) -> Column:
-    us = micros(ts)
-    hour = F.lit(3600 * MICROS)
-    return ((us - F.pmod(us, hour)) / hour).cast("bigint")
-
-
 def live_velocity(
     batch: DataFrame, stored: DataFrame, windows: dict[str, int] | None = None
 ) -> DataFrame:
@@ -159,11 +152,15 @@ class OnlineJob:
 
     def _score(self, fresh: DataFrame, batch_id: int) -> DataFrame:
         spark = fresh.sparkSession
-        reach = max(VELOCITY_WINDOWS.values()) // 3600
-        span = fresh.agg(F.min(event_hour(F.col("event_time"))), F.max(event_hour(F.col("event_time")))).first()
-        low, high = (span[0] or 0) - reach, span[1] or 0
         times = read_or_empty(spark, self.path("times"), TIMES_SCHEMA)
-        stored = times.where(F.col("event_hour").between(low, high) & (F.col("batch_id") < batch_id))
+        t = F.col("event_time")
+        span = fresh.agg(F.min(t).alias("low"), F.max(t).alias("high")).first()
+        stored = times.where(F.col("batch_id") < batch_id)
+        if span.low is not None:
+            low = span.low - timedelta(seconds=max(VELOCITY_WINDOWS.values()))
+            # days prune folders, times prune row groups
+            stored = stored.where(F.col("event_date").between(low.date(), span.high.date()))
+            stored = stored.where(f"event_time BETWEEN timestamp_ntz'{low}' AND timestamp_ntz'{span.high}'")
         return rules.apply_rules(live_velocity(fresh, stored), self.profile, "velocity_5min_live")
 
     def _write(self, status: DataFrame, scored: DataFrame, now: Column, now_text: str, batch_id: int) -> None:
@@ -179,8 +176,8 @@ class OnlineJob:
         records.write.mode("overwrite").json(f"{self.path('alerts')}/{part}")
 
         times = scored.select("customer_id", "event_time").distinct()
-        times = times.withColumns({"event_hour": event_hour(F.col("event_time")), "batch_id": F.lit(batch_id)})
-        self._replace(times, "times", ["event_hour", "batch_id"])
+        times = times.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
+        self._replace(times, "times", ["event_date", "batch_id"])
 
         done = scored.select("event_id", "is_flagged", F.lit("processed").alias("status"))
         unread = status.where("status <> 'parsed'").select(
@@ -202,11 +199,11 @@ class OnlineJob:
             .partitionBy(*by).parquet(self.path(name))
         )
 
-    def expire(self, spark: SparkSession, first_event_hour: int, first_event_date: str, first_ledger_date: str) -> None:
-        """Drop state older than its lifetime: whole partition folders, no rewrite."""
-        drop_partitions_before(spark, self.path("times"), "event_hour", str(first_event_hour))
-        drop_partitions_before(spark, self.path("events"), "event_date", first_event_date)
-        drop_partitions_before(spark, self.path("ledger"), "processed_date", first_ledger_date)
+    def expire(self, spark: SparkSession, times_from: str, events_from: str, ledger_from: str) -> None:
+        """Drop entries dated before the given days: whole folders, no rewrite."""
+        drop_partitions_before(spark, self.path("times"), "event_date", times_from)
+        drop_partitions_before(spark, self.path("events"), "event_date", events_from)
+        drop_partitions_before(spark, self.path("ledger"), "processed_date", ledger_from)
 
 
 def scored_events(spark: SparkSession, base: str) -> DataFrame:
