@@ -11,10 +11,10 @@ task. A hot customer may own a large share of the table, so the order
   prefix-summed inside a block, and one total per (customer, block) is carried
   to later blocks.
 
-Range counts are differences of two prefix sums (at t and at t - width). A
-probe row marks t - width in the block, so the cost is linear in the number of
-cells and does not depend on how many events a window holds. Widths may reach
-over a block's start, so a cell is copied to the next blocks within reach.
+Range counts are differences of two prefix sums (at t and at t - width), so the
+cost is linear in the number of cells and does not depend on how many events a
+window holds. Widths may reach over a block's start, so a cell is copied to the
+later blocks within reach.
 """
 
 from __future__ import annotations
@@ -67,14 +67,14 @@ def with_history(
         (F.coalesce(cents(F.col(amount)), cents(F.lit(0))) if amount else F.lit(0)).alias("h_amt"),
         (micros(F.col(latest)) if latest else F.lit(None).cast("bigint")).alias("h_lat"),
     )
-    size = F.lit(block_seconds * MICROS)
+    size = block_seconds * MICROS
     cells = (
         rows.where(F.col(ts).isNotNull())
         .groupBy(
             F.col("h_key").alias("c_key"), F.col("h_us").alias("c_us"), F.col("h_slot").alias("c_slot")
         )
         .agg(F.count("*").alias("c_n"), F.sum("h_amt").alias("c_amt"), F.max("h_lat").alias("c_lat"))
-        .select("*", _block_of(F.col("c_us"), size).alias("c_block"))
+        .select("*", _block_of(F.col("c_us"), F.lit(size)).alias("c_block"))
     )
     state = _cell_prefixes(cells, widths, size)
     columns = {"h_key": F.col("c_key"), "h_us": F.col("c_us"), "h_slot": F.col("c_slot")}
@@ -112,64 +112,49 @@ def _block_of(us: Column, size: Column) -> Column:
     return ((us - F.pmod(us, size)) / size).cast("bigint")
 
 
-def _cell_prefixes(cells: DataFrame, widths: tuple[int, ...], size: Column) -> DataFrame:
-    """Per cell: sums over earlier cells of its block, and its range counts."""
+def _cell_prefixes(cells: DataFrame, widths: tuple[int, ...], size: int) -> DataFrame:
+    """Per cell: sums over earlier cells of its block, and its range counts.
+
+    Every frame starts at the block's first cell, so Spark only ever adds rows
+    to it. A frame bounded on both sides would be summed anew for each row.
+    """
+    # the cell, and a copy in each later block it can be counted from
     reach = F.lit(max(widths, default=0) * MICROS)
+    blocks = F.sequence("c_block", _block_of(F.col("c_us") + reach, F.lit(size)))
+    home = F.col("e_block") == F.col("c_block")
+    events = cells.select("*", F.explode(blocks).alias("e_block")).select(
+        "c_key", "e_block", "c_us", "c_slot", "c_n", home.alias("e_home"),
+        F.when(home, F.col("c_n")).otherwise(0).alias("n_own"),
+        F.when(home, F.col("c_amt")).otherwise(0).alias("amt_own"),
+        F.when(home, F.col("c_lat")).alias("lat_own"),
+    )
+    block = Window.partitionBy("c_key", "e_block")
+    before = block.orderBy("c_us", "c_slot").rowsBetween(_FIRST, -1)
 
-    def entry(place: Column, at: Column, kind: int) -> Column:
-        # kind 0 = the cell itself, 1..n = probe of the n-th width
-        return F.struct(place.alias("e_block"), at.alias("e_us"), F.lit(kind).alias("e_kind"))
+    def upto(value: str, us: int) -> Column:
+        """Sum over all cells up to ``us`` microseconds from this one's time."""
+        return F.coalesce(F.sum(value).over(block.orderBy("c_us").rangeBetween(_FIRST, us)), F.lit(0))
 
-    # a copy in every block the cell can be counted from, plus one probe per width
-    entries = F.transform(
-        F.sequence("c_block", _block_of(F.col("c_us") + reach, size)),
-        lambda b: entry(b, F.col("c_us"), 0),
-    )
-    if widths:
-        probes = [entry(F.col("c_block"), F.col("c_us") - w * MICROS, i) for i, w in enumerate(widths, 1)]
-        entries = F.concat(entries, F.array(*probes))
-    is_cell = F.col("e_kind") == 0
-    home = F.col("e_block") == F.col("c_block")
-    events = cells.select("*", F.explode(entries).alias("e")).select("*", "e.*").select(
-        "c_key", "c_us", "c_slot", "e_block", "e_us", "e_kind",
-        home.alias("e_home"),
-        # a probe sorts before the cells of its instant: it must see strictly earlier ones
-        F.least("e_kind", F.lit(1)).alias("e_probe"),
-        F.when(is_cell, F.col("c_n")).otherwise(0).alias("n_all"),
-        F.when(is_cell & home, F.col("c_n")).otherwise(0).alias("n_own"),
-        F.when(is_cell & home, F.col("c_amt")).otherwise(0).alias("amt_own"),
-        F.when(is_cell & home, F.col("c_lat")).alias("lat_own"),
-        F.when(is_cell, F.col("c_us")).alias("us_all"),
+    counted = events.select(
+        "*",
+        F.coalesce(F.sum("c_n").over(before), F.lit(0)).alias("r_all"),
+        F.coalesce(F.sum("n_own").over(before), F.lit(0)).alias("p_n"),
+        F.coalesce(F.sum("amt_own").over(before), F.lit(0)).alias("p_amt"),
+        F.max("c_us").over(before).alias("p_us"),
+        F.max("lat_own").over(before).alias("p_lat"),
+        *[upto("c_n", -w * MICROS - 1).alias(f"r_w{w}") for w in widths],
     )
-    order = Window.partitionBy("c_key", "e_block").orderBy("e_us", F.desc("e_probe"), "c_slot")
-    before = order.rowsBetween(_FIRST, -1)
-    prefix = events.select(
+    new_time = F.when(F.col("p_us").eqNullSafe(F.col("c_us")), 0).otherwise(1)
+    times = counted.withColumn("e_new", new_time).select(
         "*",
-        F.coalesce(F.sum("n_all").over(before), F.lit(0)).alias("r_all"),
-        F.coalesce(F.sum("n_own").over(before), F.lit(0)).alias("r_n"),
-        F.coalesce(F.sum("amt_own").over(before), F.lit(0)).alias("r_amt"),
-        F.max("us_all").over(before).alias("r_us"),
-        F.max("lat_own").over(before).alias("r_lat"),
-    ).withColumn(
-        "is_new", F.when(is_cell & ~F.col("r_us").eqNullSafe(F.col("e_us")), 1).otherwise(0)
+        upto("e_new", 0).alias("r_times"),
+        *[upto("e_new", -w * MICROS - 1).alias(f"r_t{w}") for w in widths],
     )
-    seen = prefix.select("*", F.sum("is_new").over(order.rowsBetween(_FIRST, 0)).alias("r_times"))
-
-    def of(kind: int, col: str) -> Column:
-        return F.max(F.when(F.col("e_kind") == kind, F.col(col)))
-
-    ranges = []
-    for i, w in enumerate(widths, 1):
-        ranges.append((of(0, "r_all") - of(i, "r_all")).alias(f"s_w{w}"))
-        ranges.append((of(0, "r_times") - of(i, "r_times")).alias(f"s_t{w}"))
-    # same hash partitioning as the window: this grouping adds no shuffle
-    return (
-        seen.where("e_home")
-        .groupBy("c_key", F.col("e_block").alias("c_block"), "c_us", "c_slot")
-        .agg(
-            of(0, "r_n").alias("p_n"), of(0, "r_amt").alias("p_amt"),
-            of(0, "r_us").alias("p_us"), of(0, "r_lat").alias("p_lat"), *ranges,
-        )
+    ranges = [(F.col("r_all") - F.col(f"r_w{w}")).alias(f"s_w{w}") for w in widths]
+    ranges += [(F.col("r_times") - F.col(f"r_t{w}")).alias(f"s_t{w}") for w in widths]
+    return times.where("e_home").select(
+        "c_key", F.col("e_block").alias("c_block"), "c_us", "c_slot",
+        "p_n", "p_amt", "p_us", "p_lat", *ranges,
     )
 
 
