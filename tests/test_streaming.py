@@ -82,6 +82,19 @@ def test_online_job_equals_batch_in_one_and_in_many(spark, tmp_path, bodies):
     assert not list((base / "times").glob("event_date=*")) and not list((base / "ledger").glob("processed_date=*"))
 
 
+def test_consumer_profile_uses_the_given_velocity(spark, tmp_path):
+    fast = json.loads(body(1, "X", T0))
+    fast["payload"]["transaction_velocity_5min"] = 6
+    lines = [json.dumps(fast), body(2, "X", T0), json.dumps({"metadata": {}, "payload": {}})]
+    source, base = write(tmp_path / "in", [lines]), str(tmp_path / "out")
+    online.OnlineJob(base, "consumer", "2024-01-02 00:00:00").start(online.read_stream(spark, source)).awaitTermination()
+    got = {r.event_id: r.triggered_rules for r in online.scored_events(spark, base).collect()}
+    assert got == {"E001": ["HIGH_VELOCITY_5MIN"], "E002": []}
+    alert = spark.read.json(f"{base}/alerts").collect()
+    assert len(alert) == 1 and alert[0].type == "PAYMENT" and alert[0].velocity_5min == 6
+    assert spark.read.text(f"{base}/dead_letters").count() == 1
+
+
 def test_out_of_order_events_see_what_has_arrived(spark, tmp_path):
     late, early = body(1, "X", T0), body(2, "X", T0 + timedelta(seconds=60))
     source = write(tmp_path / "in", [[early], [late]])

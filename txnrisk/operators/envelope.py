@@ -102,10 +102,11 @@ def split_dead_letter(df: DataFrame, body: str = "body") -> tuple[DataFrame, Dat
     return parsed.where(~is_dead_letter()), dead.withColumn("reason", F.lit("unreadable message"))
 
 
-def message_status(df: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``status``: ``dead_letter``, ``skipped`` (no event id) or ``parsed``."""
+def message_status(df: DataFrame, body: str = "body", missing_id: str = "skipped") -> DataFrame:
+    """Add ``status``: ``dead_letter``, ``parsed``, or ``missing_id`` for a
+    message without an event id (the batch consumer calls that a dead letter)."""
     parsed = df if "envelope" in df.columns else parse_messages(df, body)
-    status = F.when(is_dead_letter(), "dead_letter").when(is_skipped(), "skipped").otherwise("parsed")
+    status = F.when(is_dead_letter(), "dead_letter").when(is_skipped(), missing_id).otherwise("parsed")
     return parsed.withColumn("status", status)
 
 

@@ -277,7 +277,7 @@ def first_seen(key: str, columns: str) -> str:
 
 
 def created(key: str, low: int, high: int, salt: str) -> str:
-    return f"DATE '2023-01-01' - {stable_int(key, low, high, salt)}"
+    return f"CAST(CAST(DATE '2023-01-01' - {stable_int(key, low, high, salt)} AS DATE) AS VARCHAR)"
 
 
 def dispute(where: str) -> str:

@@ -340,11 +340,13 @@ def reconcile(spark, sf_dir):
 
 
 def customers_dim(spark, sf_dir):
-    return dims.customers_dim(tx_table(spark, sf_dir))
+    created = F.col("account_creation_date").cast("string")
+    return dims.customers_dim(tx_table(spark, sf_dir)).withColumn("account_creation_date", created)
 
 
 def merchants_dim(spark, sf_dir):
-    return dims.merchants_dim(tx_table(spark, sf_dir))
+    created = F.col("merchant_creation_date").cast("string")
+    return dims.merchants_dim(tx_table(spark, sf_dir)).withColumn("merchant_creation_date", created)
 
 
 def devices_dim(spark, sf_dir):

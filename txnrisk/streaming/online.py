@@ -94,6 +94,14 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> Streamin
     )
 
 
+def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
+    """Write the partitions that occur in ``df``, in place of what they held."""
+    (
+        by_partition(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by).parquet(path)
+    )
+
+
 # ---------------------------------------------------------------- live velocity over stored times
 
 
@@ -114,7 +122,11 @@ def live_velocity(
 
 @dataclass
 class OnlineJob:
-    """Parse, skip processed, count velocity, apply rules, store, alert, mark."""
+    """Parse, skip processed, count velocity, apply rules, store, alert, mark.
+
+    The ``consumer`` profile takes the velocity that came with the event, so it
+    keeps no event times.
+    """
 
     base: str
     profile: str = "online"
@@ -136,7 +148,9 @@ class OnlineJob:
         now_text = self.now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         now = F.expr(f"timestamp_ntz'{now_text}'")
         # shared by several outputs; lost blocks are recomputed from the source
-        status = envelope.message_status(messages).persist(StorageLevel.MEMORY_AND_DISK)
+        missing = "skipped" if self.profile == "online" else "dead_letter"
+        status = envelope.message_status(messages, missing_id=missing)
+        status = status.persist(StorageLevel.MEMORY_AND_DISK)
         parsed = status.where("status = 'parsed'")
         rows = envelope.parse_times(envelope.flatten(parsed, keep=["body"]), fallback=now)
         rows = rows.withColumn("customer_id", F.coalesce("customer_id", F.lit("")))
@@ -151,6 +165,8 @@ class OnlineJob:
                 shared.unpersist()
 
     def _score(self, fresh: DataFrame, batch_id: int) -> DataFrame:
+        if self.profile != "online":
+            return rules.apply_rules(fresh, self.profile)
         spark = fresh.sparkSession
         times = read_or_empty(spark, self.path("times"), TIMES_SCHEMA)
         t = F.col("event_time")
@@ -161,7 +177,7 @@ class OnlineJob:
             # days prune folders, times prune row groups
             stored = stored.where(F.col("event_date").between(low.date(), span.high.date()))
             stored = stored.where(f"event_time BETWEEN timestamp_ntz'{low}' AND timestamp_ntz'{span.high}'")
-        return rules.apply_rules(live_velocity(fresh, stored), self.profile, "velocity_5min_live")
+        return rules.apply_rules(live_velocity(fresh, stored))
 
     def _write(self, status: DataFrame, scored: DataFrame, now: Column, now_text: str, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
@@ -172,12 +188,13 @@ class OnlineJob:
         )
         events = scored.drop("body").withColumns({"processed_at": now, "event_date": F.to_date("event_time")})
         self._replace(events.withColumn("batch_id", F.lit(batch_id)), "events", ["event_date", "batch_id"])
-        records = rules.alert_records(scored, self.profile, now_text, "velocity_5min_live")
+        records = rules.alert_records(scored, self.profile, now_text)
         records.write.mode("overwrite").json(f"{self.path('alerts')}/{part}")
 
-        times = scored.select("customer_id", "event_time").distinct()
-        times = times.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
-        self._replace(times, "times", ["event_date", "batch_id"])
+        if self.profile == "online":
+            times = scored.select("customer_id", "event_time").distinct()
+            times = times.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
+            self._replace(times, "times", ["event_date", "batch_id"])
 
         done = scored.select("event_id", "is_flagged", F.lit("processed").alias("status"))
         unread = status.where("status <> 'parsed'").select(
@@ -194,10 +211,7 @@ class OnlineJob:
         self._replace(marks, "ledger", ["processed_date", "batch_id"])
 
     def _replace(self, df: DataFrame, name: str, by: list[str]) -> None:
-        (
-            by_partition(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*by).parquet(self.path(name))
-        )
+        replace_partitions(df, self.path(name), by)
 
     def expire(self, spark: SparkSession, times_from: str, events_from: str, ledger_from: str) -> None:
         """Drop entries dated before the given days: whole folders, no rewrite."""
@@ -216,11 +230,17 @@ def scored_events(spark: SparkSession, base: str) -> DataFrame:
 
 @dataclass
 class IncrementalSilver:
-    """Bronze -> Silver for files not seen before; partitions gain a ``load_id``."""
+    """Bronze -> Silver for files not seen before; partitions gain a ``load_id``.
+
+    Ids of earlier loads are looked up only on the event dates of this load: a
+    message delivered again carries the same event time.
+    """
 
     base: str
     run_ts: str
 
+    IDS = "event_id string, event_date date, load_id bigint"
+
     def start(self, messages: DataFrame) -> StreamingQuery:
         return (
             messages.writeStream.foreachBatch(self.process)
@@ -232,19 +252,21 @@ class IncrementalSilver:
         spark = messages.sparkSession
         good, bad = silver.split_valid(envelope.parse_envelope(messages))
         clean = silver.to_silver(good, self.run_ts)
-        ids = "event_id string, load_id bigint"
-        before = read_or_empty(spark, f"{self.base}/ids", ids).where(F.col("load_id") < batch_id)
-        fresh = clean.join(before.select("event_id"), "event_id", "left_anti")
+        clean = clean.withColumn("event_date", F.to_date("event_time"))
+        span = clean.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
+        before = read_or_empty(spark, f"{self.base}/ids", self.IDS)
+        before = before.where(
+            (F.col("load_id") < batch_id) & F.col("event_date").between(F.lit(span.low), F.lit(span.high))
+        )
+        fresh = clean.join(before.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
         fresh = fresh.withColumn("load_id", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            by = ["year", "month", "day", "load_id"]
-            (
-                by_partition(fresh, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(*by).parquet(f"{self.base}/silver")
-            )
+            replace_partitions(fresh.drop("event_date"), f"{self.base}/silver", ["year", "month", "day", "load_id"])
             silver.quarantine_reasons(bad).write.mode("overwrite").json(
                 f"{self.base}/quarantine/load_id={batch_id}"
             )
-            fresh.select("event_id").write.mode("overwrite").parquet(f"{self.base}/ids/load_id={batch_id}")
+            replace_partitions(
+                fresh.select("event_id", "event_date", "load_id"), f"{self.base}/ids", ["event_date", "load_id"]
+            )
         finally:
             fresh.unpersist()
