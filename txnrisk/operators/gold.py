@@ -17,13 +17,18 @@ def count_all() -> Column:
 
 
 def mean_of(total: Column, n: Column, digits: int) -> Column:
-    """Mean from an exact total: one division, so row order cannot change it."""
-    return F.round(total.cast("double") / n.cast("double"), digits)
+    """Mean from an exact total, divided and rounded as decimals: neither row
+    order nor binary fractions can tip a value that ends in 5."""
+    mean = total.cast("decimal(30,6)") / n.cast("decimal(20,0)")
+    return F.round(mean, digits).cast("double")
+
+
+def percent_of(part: Column, whole: Column) -> Column:
+    return mean_of(part * 100, whole, 2)
 
 
 def fraud_rate() -> Column:
-    share = F.sum("is_fraud").cast("double") / count_all().cast("double")
-    return F.round(share * 100, 2)
+    return percent_of(F.sum("is_fraud"), count_all())
 
 
 def mean_money(column: str, digits: int = 2) -> Column:
@@ -143,10 +148,10 @@ def pipeline_run_summary(silver: DataFrame, run_date: str, location: str, databa
     for name, column in SUMMARY_DISTINCT.items():
         parts.append(part(silver.groupBy(column).agg(F.lit(1)), {name: count_all()}))
     merged = reduce(DataFrame.unionAll, parts).agg(*[F.max(n).alias(n) for n in names])
-    rate = F.col("fraud_transactions") / F.greatest("silver_records_read", F.lit(1)) * 100
+    rate = percent_of(F.col("fraud_transactions"), F.greatest("silver_records_read", F.lit(1)))
     return merged.select(
         F.lit(run_date).alias("run_date"),
-        "silver_records_read", "fraud_transactions", F.round(rate, 2).alias("fraud_rate_pct"),
+        "silver_records_read", "fraud_transactions", rate.alias("fraud_rate_pct"),
         "unique_customers", "unique_merchants", "geo_anomaly_count", "new_device_count",
         "high_risk_merchant_count", "balance_mismatch_count",
         F.lit(location).alias("location"), F.lit(database).alias("database"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.functions.columns import MICROS, micros
 from txnrisk.operators.envelope import message_status
+from txnrisk.operators.gold import mean_of
 from txnrisk.operators.silver import VALID, keep_one
 
 #: What makes two events the same transaction, whatever their ids.
@@ -137,8 +138,8 @@ def drift_report(df: DataFrame, cut: float | None = None) -> DataFrame:
 
     wide = cells.agg(
         summed(F.col("n"), False).alias("n_first"), summed(F.col("n"), True).alias("n_second"),
-        summed(F.col("total"), False).cast("double").alias("t_first"),
-        summed(F.col("total"), True).cast("double").alias("t_second"),
+        summed(F.col("total"), False).alias("t_first"),
+        summed(F.col("total"), True).alias("t_second"),
         *[summed(F.col("n"), False, b).alias(f"a{b}") for b in range(RISK_BINS)],
         *[summed(F.col("n"), True, b).alias(f"b{b}") for b in range(RISK_BINS)],
     )
@@ -150,12 +151,14 @@ def drift_report(df: DataFrame, cut: float | None = None) -> DataFrame:
     for b in range(RISK_BINS):
         before, after = share(f"a{b}", "n_first"), share(f"b{b}", "n_second")
         psi = psi + (after - before) * F.ln(after / before)
-    mean_first = F.col("t_first") / F.nullif("n_first", F.lit(0))
-    mean_second = F.col("t_second") / F.nullif("n_second", F.lit(0))
+    mean_first = mean_of(F.col("t_first"), F.nullif("n_first", F.lit(0)), 4)
+    mean_second = mean_of(F.col("t_second"), F.nullif("n_second", F.lit(0)), 4)
+    totals = [F.col(t).cast("double") / F.nullif(n, F.lit(0)) for t, n in (("t_second", "n_second"), ("t_first", "n_first"))]
     return wide.select(
         "n_first", "n_second",
-        F.round(mean_first, 4).alias("mean_first"), F.round(mean_second, 4).alias("mean_second"),
-        F.round(mean_second / mean_first, 4).alias("mean_ratio"), F.round(psi, 4).alias("psi"),
+        mean_first.alias("mean_first"), mean_second.alias("mean_second"),
+        F.round(totals[0] / F.nullif(totals[1], F.lit(0.0)), 4).alias("mean_ratio"),
+        F.round(psi, 4).alias("psi"),
     )
 
 

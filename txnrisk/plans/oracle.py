@@ -1,8 +1,8 @@
 """SQL twins of the registered queries, over the same given tables.
 
 They are written independently of the Spark code: no messages, no lake, plain
-windows. The engines differ in how they round a double (Spark rounds its
-decimal text half up), so twins round that text as a decimal.
+windows. The engines round a double differently (Spark rounds its decimal text
+half up), so twins round that text, cut to ten decimals, as a decimal.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from txnrisk.schema import FEATURES, NULLABLE_COLUMNS
 
 
 def rnd(x: str, digits: int) -> str:
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
 def pick(key: str, weights: dict[str, float], salt: str) -> str:
