@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.functions.columns import MICROS, cents, digest, from_micros, micros
+from txnrisk.functions.columns import MICROS, cents, from_micros, micros
 
 BLOCK_SECONDS = 6 * 3600
 _FIRST = Window.unboundedPreceding
