@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from txnrisk.llm import simhash, tokenfile
+from txnrisk.llm import decontaminate, pieces, pii, simhash, tokenfile
 from txnrisk.llm.common import table
 from txnrisk.storage import new_path
 
@@ -13,14 +13,29 @@ def op1_simhash_dedup(spark, sf_dir) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_sentencepiece(spark, sf_dir) -> DataFrame:
+    return pieces.digests(table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
+
+
 def op3_token_output(spark, sf_dir) -> DataFrame:
     path = new_path(spark, "tokens")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, "byte_bpe_50k.json")
     return tokenfile.read_tokens(spark, path)
 
 
+def op6_pii(spark, sf_dir) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark, sf_dir) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = (op1_simhash_dedup, op2_sentencepiece, op3_token_output, op6_pii, op9_decontamination)
+
+
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op1_simhash_dedup, op3_token_output)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def all_twins() -> dict[str, str]:

@@ -141,8 +141,8 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     that its texts are in. Rows without a doc_id stay.
     """
     found = near_duplicates(docs, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_kept"], "left_semi")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_txnrisk_kept")).distinct()
+    rows = docs.join(kept, docs["doc_id"] == kept["_txnrisk_kept"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
-    once = rows.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    once = rows.withColumn("_txnrisk_nth", F.row_number().over(order)).where("_txnrisk_nth = 1").drop("_txnrisk_nth")
     return once.unionByName(docs.where(F.col("doc_id").isNull()))
