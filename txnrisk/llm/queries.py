@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from txnrisk.llm import decontaminate, pieces, pii, simhash, tokenfile
+from txnrisk.llm import decontaminate, pieces, pii, quality, simhash, tokenfile, toxicity
 from txnrisk.llm.common import table
 from txnrisk.storage import new_path
 
@@ -23,6 +23,11 @@ def op3_token_output(spark, sf_dir) -> DataFrame:
     return tokenfile.read_tokens(spark, path)
 
 
+def op4_toxicity(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.report(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_pii(spark, sf_dir) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -31,7 +36,14 @@ def op9_decontamination(spark, sf_dir) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = (op1_simhash_dedup, op2_sentencepiece, op3_token_output, op6_pii, op9_decontamination)
+def op10_quality(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.report(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = (
+    op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op6_pii, op9_decontamination, op10_quality,
+)
 
 
 def all_queries() -> dict:
