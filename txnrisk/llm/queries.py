@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from txnrisk.llm import decontaminate, pieces, pii, quality, simhash, tokenfile, toxicity
+from txnrisk.llm import decontaminate, embeddings, pieces, pii, quality, simhash, tokenfile, toxicity
 from txnrisk.llm.common import table
 from txnrisk.storage import new_path
 
@@ -28,6 +28,10 @@ def op4_toxicity(spark, sf_dir) -> DataFrame:
     return toxicity.report(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_embedding_dedup(spark, sf_dir) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pii(spark, sf_dir) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -42,7 +46,7 @@ def op10_quality(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = (
-    op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op6_pii, op9_decontamination, op10_quality,
+    op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op5_embedding_dedup, op6_pii, op9_decontamination, op10_quality,
 )
 
 
