@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from txnrisk.llm import decontaminate, embeddings, pieces, pii, quality, simhash, tokenfile, toxicity
+from txnrisk.llm import chat, decontaminate, embeddings, pieces, pii, quality, simhash, tokenfile, toxicity
 from txnrisk.llm.common import table
 from txnrisk.storage import new_path
 
@@ -36,6 +36,18 @@ def op6_pii(spark, sf_dir) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+CONTROL_STRINGS = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_format(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = [(-7, 0, "user", CONTROL_STRINGS), (-7, 1, "assistant", CONTROL_STRINGS)]
+    rows = rows.unionByName(spark.createDataFrame(more, "conv_id long, turn long, role string, text string"))
+    path = new_path(spark, "chat")
+    chat.write(rows, path)
+    return chat.report(spark, path)
+
+
 def op9_decontamination(spark, sf_dir) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,7 +58,8 @@ def op10_quality(spark, sf_dir) -> DataFrame:
 
 
 QUERIES = (
-    op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op5_embedding_dedup, op6_pii, op9_decontamination, op10_quality,
+    op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op5_embedding_dedup, op6_pii, op7_chat_format,
+    op9_decontamination, op10_quality,
 )
 
 
