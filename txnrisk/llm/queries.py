@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from txnrisk.llm import chat, decontaminate, embeddings, pieces, pii, quality, simhash, tokenfile, toxicity
+from txnrisk.llm import chat, decontaminate, embeddings, licenses, pieces, pii, quality, simhash, tokenfile, toxicity
 from txnrisk.llm.common import table
 from txnrisk.storage import new_path
 
@@ -48,6 +48,10 @@ def op7_chat_format(spark, sf_dir) -> DataFrame:
     return chat.report(spark, path)
 
 
+def op8_license_scan(spark, sf_dir) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark, sf_dir) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -59,7 +63,7 @@ def op10_quality(spark, sf_dir) -> DataFrame:
 
 QUERIES = (
     op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op5_embedding_dedup, op6_pii, op7_chat_format,
-    op9_decontamination, op10_quality,
+    op8_license_scan, op9_decontamination, op10_quality,
 )
 
 
