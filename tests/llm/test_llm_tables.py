@@ -12,7 +12,7 @@ import xxhash
 
 from txnrisk.llm import chat, components, decontaminate, embeddings, licenses, pieces, pii, quality, simhash, tokenfile, toxicity
 
-DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string, _txnrisk_hits string, label string, score string"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, component_id string, _hits string, label string, score string"
 
 
 def docs(spark, rows):
@@ -443,7 +443,7 @@ def test_decontamination_by_brute_force(spark, monkeypatch, most):
         for k in range(40):
             item = random.choice(items)[1] or ""
             rows.append((500 + k, f"{text(random.randint(0, 60))} ZZ {item} zz {text(5)}"))
-        bench = spark.createDataFrame([(i, t, "q") for i, t in items], "item_id long, text string, _txnrisk_items string")
+        bench = spark.createDataFrame([(i, t, "q") for i, t in items], "item_id long, text string, _items string")
         got = decontaminate.report(docs(spark, rows), bench).collect()
         expected = []
         for i, t in rows:

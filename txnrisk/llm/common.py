@@ -56,6 +56,16 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, longer where ``df`` has them already, in whatever case."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name in used:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def unsigned_crc32(values) -> int:
     """CRC-32 of ids as little-endian unsigned 32-bit integers."""
     import zlib

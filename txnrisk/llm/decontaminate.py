@@ -13,10 +13,10 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import map_arrow, saved
+from txnrisk.llm.common import free_names, map_arrow, saved
 
 WINDOW = 13
 #: A document is contaminated if one word in so many, or more, is hit.
@@ -147,21 +147,21 @@ def _merged(hits: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _pass(automaton: Automaton):
-    """Scan ``text``; add to what earlier automata found, in the last columns."""
+    """Scan ``text``; add to what earlier automata found, in the last three columns."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rest = batch.schema.names[:-3]
+            names, rest = batch.schema.names, batch.columns[:-3]
             n_words, hits, items = [], [], []
-            for text, before, held in zip(batch.column("text").to_pylist(), batch.column("_txnrisk_hits").to_pylist(), batch.column("_txnrisk_items").to_pylist()):
+            for text, before, held in zip(batch.column("text").to_pylist(), batch.column(-2).to_pylist(), batch.column(-1).to_pylist()):
                 own = words(text)
-                spans, names = automaton.scan(own)
+                spans, found = automaton.scan(own)
                 spans += zip(before[::2], before[1::2])
                 n_words.append(len(own))
                 hits.append([x for span in _merged(spans) for x in span])
-                items.append(sorted(set(held) | {str(i) for i in names if i is not None}))
-            found = [pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *found], [*rest, "_txnrisk_words", "_txnrisk_hits", "_txnrisk_items"])
+                items.append(sorted(set(held) | {str(i) for i in found if i is not None}))
+            new = [pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*rest, *new], names)
 
     return scan
 
@@ -180,17 +180,22 @@ def automata(benchmark: DataFrame, most: int = AUTOMATON_WORDS) -> Iterator[Auto
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, most: int = AUTOMATON_WORDS) -> DataFrame:
-    """``docs`` (any columns, ``text`` among them) with _txnrisk_words, _txnrisk_hits (starts and ends of hit runs of words) and _txnrisk_items."""
-    docs = docs.withColumns({"_txnrisk_words": F.lit(0).cast("long"), "_txnrisk_hits": F.array().cast("array<int>"), "_txnrisk_items": F.array().cast("array<string>")})
+    """``docs`` (any columns, ``text`` among them) and three more at the end, whatever their names: the
+    number of words, starts and ends of the hit runs of words, and the items."""
+    names = free_names(docs, "_words", "_hits", "_items")
+    docs = docs.select("*", F.lit(0).cast("long").alias(names[0]), F.array().cast("array<int>").alias(names[1]), F.array().cast("array<string>").alias(names[2]))
     for k, automaton in enumerate(automata(benchmark, most)):
         docs = map_arrow(saved(docs, "scanned") if k else docs, _pass(automaton), docs.schema)
     return docs
 
 
-def _contaminated():
-    n_hit = F.expr("aggregate(sequence(1, cast(size(_txnrisk_hits) / 2 as int), 1), 0L, (n, k) -> n + _txnrisk_hits[2 * k - 1] - _txnrisk_hits[2 * k - 2])")
-    hit = F.when(F.size("_txnrisk_hits") > 0, n_hit).otherwise(F.lit(0).cast("long"))
-    return hit, (hit > 0) & (hit * SHARE >= F.col("_txnrisk_words"))
+def _judged(found: DataFrame) -> tuple[str, Column, str, Column]:
+    """Names of the number of words and of the items, with the number of hit words and the verdict."""
+    n_words, hits, items = found.columns[-3:]
+    pairs = F.sequence(F.lit(0), F.size(hits) - 2, F.lit(2))
+    n_hit = F.aggregate(pairs, F.lit(0).cast("long"), lambda n, k: n + F.get(hits, k + 1) - F.get(hits, k))
+    hit = F.when(F.size(hits) > 0, n_hit).otherwise(F.lit(0).cast("long"))
+    return n_words, hit, items, (hit > 0) & (hit * SHARE >= F.col(n_words))
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,15 +204,15 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     A null text has no words; repeated rows stay; items that share an id count once; an item without
     an id makes hits but isn't counted. Without items nothing is hit. Other columns aren't read.
     """
-    hit, bad = _contaminated()
     found = scan(docs.select("doc_id", "text"), benchmark)
+    n_words, hit, items, bad = _judged(found)
     return found.select(
-        "doc_id", F.col("_txnrisk_words").alias("n_words"), hit.alias("n_hit"), F.size("_txnrisk_items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("_txnrisk_items", ","), 256).alias("items_sha256"), bad.alias("contaminated"),
+        "doc_id", F.col(n_words).alias("n_words"), hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), bad.alias("contaminated"),
     )
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, unchanged, with all their columns."""
-    _, bad = _contaminated()
-    return scan(docs, benchmark).where(~bad).select(docs.columns)
+    found = scan(docs, benchmark)
+    return found.where(~_judged(found)[-1]).select(docs.columns)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import map_arrow, saved, texts
+from txnrisk.llm.common import free_names, map_arrow, saved, texts
 from txnrisk.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -141,8 +141,9 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     that its texts are in. Rows without a doc_id stay.
     """
     found = near_duplicates(docs, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_txnrisk_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"] == kept["_txnrisk_kept"], "left_semi")
+    own, nth = free_names(docs, "_kept", "_nth")
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
+    rows = docs.join(kept, F.col("doc_id") == F.col(own), "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text")
-    once = rows.withColumn("_txnrisk_nth", F.row_number().over(order)).where("_txnrisk_nth = 1").drop("_txnrisk_nth")
+    once = rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
     return once.unionByName(docs.where(F.col("doc_id").isNull()))
