@@ -1,6 +1,5 @@
 """History features against a plain loop, on random data with ties and a hot key."""
 
-import hashlib
 import random
 from datetime import datetime, timedelta
 
@@ -28,13 +27,9 @@ def make(n, seed, span, tie=1):
     return rows
 
 
-def md5(x):
-    return hashlib.md5(x.encode()).hexdigest()
-
-
 def loop(rows, widths):
     out, past = {}, {}
-    for r in sorted(rows, key=lambda r: (r[2], md5(r[0]), r[0])):
+    for r in sorted(rows, key=lambda r: (r[2], r[0])):
         eid, cust, t, _, amt, cc, mc = r
         before = past.setdefault(cust, [])
         res = {}
@@ -91,7 +86,7 @@ def test_small_blocks_do_not_matter(spark):
 def test_out_of_order_matches_loop(spark):
     rows = make(200, 9, 6000)
     newest, want = {}, {}
-    for r in sorted(rows, key=lambda r: (r[3], md5(r[0]), r[0])):
+    for r in sorted(rows, key=lambda r: (r[3], r[0])):
         top = newest.get(r[1])
         want[r[0]] = int(top is not None and r[2] < top)
         newest[r[1]] = r[2] if top is None else max(top, r[2])

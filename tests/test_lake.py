@@ -30,10 +30,10 @@ def tx(spark, tmp_path_factory):
 def test_run_conserves_rows_and_is_repeatable(spark, tx, tmp_path):
     bronze, out = str(tmp_path / "bronze"), str(tmp_path / "out")
     files.write_bronze(sample_tables.messages(tx), bronze, F.to_date("arrival_time"))
-    assert len(list(Path(bronze).glob("year=*/month=*/day=*"))) > 20
+    assert len(list(Path(bronze).glob("run_id=*/year=*/month=*/day=*"))) > 20
     first = lake.run(spark, bronze, out, "2024-02-01T00:00:00", "r1")
     c = first.counts
-    assert c["input"] == c["valid"] + c["corrupted"] + c["dead_letter"] + c["skipped"] == 1030
+    assert c["input"] == c["valid"] + c["corrupted"] + c["dead_letter"] == 1030
     assert c["output"] + c["duplicates_removed"] == c["valid"]
     assert spark.read.json(f"{out}/quarantine").count() == c["corrupted"]
     assert spark.read.text(f"{out}/dead_letters").count() == c["dead_letter"] == 2
@@ -83,12 +83,21 @@ def test_raw_log_promotion_and_exports(spark, tmp_path):
     row = files.read_transactions_csv(spark, str(raw)).first()
     assert row.amount == 9839.64 and row.isFraud == 0
 
-    src = tmp_path / "src/year=2024/month=01"
+    src = tmp_path / "src/year=2024/month=01/day=05"
     src.mkdir(parents=True)
     (src / "a.txt").write_text('{"a": 1}\n{"a": \n')
     counts = files.promote_bronze(spark, str(tmp_path / "src"), str(tmp_path / "dst"))
     assert counts == {"uploaded": 1, "skipped": 1, "errors": 0}
     assert files.read_bronze(spark, str(tmp_path / "dst")).first().body == '{"a": 1}'
+    assert list((tmp_path / "dst").glob("run_id=promoted/year=2024/month=01/day=05"))
+    # Another source with days as plain folders adds its own; a run that repeats replaces its own.
+    more = tmp_path / "other/2024/02/11/batch_id=3"
+    more.mkdir(parents=True)
+    (more / "b.txt").write_text('{"b": 2}\n')
+    for _ in range(2):
+        files.promote_bronze(spark, str(tmp_path / "other"), str(tmp_path / "dst"), "second")
+    assert {r.body for r in files.read_bronze(spark, str(tmp_path / "dst")).collect()} == {'{"a": 1}', '{"b": 2}'}
+    assert files.read_bronze(spark, str(tmp_path / "dst")).count() == 2
     assert files.sample_stream(files.read_bronze(spark, str(tmp_path / "src")), 1).count() == 1
     files.write_dims({"x": spark.range(3)}, str(tmp_path / "dims"), "csv")
     assert spark.read.csv(str(tmp_path / "dims/x"), header=True).count() == 3

@@ -116,8 +116,8 @@ def known_text(value: Column) -> Column:
 
 
 def cents(value: Column) -> Column:
-    """Money as an exact decimal, so sums do not depend on row order."""
-    return value.cast("decimal(18,2)")
+    """Money as an exact decimal, so sums do not depend on row order; NULL where it does not fit."""
+    return value.try_cast("decimal(18,2)")
 
 
 def digest(key: Column, salt: str) -> Column:

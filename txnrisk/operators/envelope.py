@@ -62,14 +62,16 @@ def split_oversize(
 
 def routing_attributes(df: DataFrame, body: str = "body") -> DataFrame:
     """What a consumer may filter on without reading the whole body."""
-    # Attribute name and where it is in the body.
+    # Attribute name and where it is in the message.
     paths = {
-        "event_id": "$.metadata.event_id",
-        "schema_version": "$.metadata.schema_version",
-        "is_fraud": "$.payload.isFraud",
-        "customer_id": "$.payload.nameOrig",
+        "event_id": "metadata.event_id",
+        "schema_version": "metadata.schema_version",
+        "is_fraud": "payload.isFraud",
+        "customer_id": "payload.nameOrig",
     }
-    return df.select("*", *[F.get_json_object(body, p).alias(f"attr_{n}") for n, p in paths.items()])
+    parsed = df if "envelope" in df.columns else parse_messages(df, body)
+    kept = [c for c in df.columns if c != "envelope"]
+    return parsed.select(*kept, *[F.col(f"envelope.{p}").alias(f"attr_{n}") for n, p in paths.items()])
 
 
 def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:

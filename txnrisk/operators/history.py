@@ -2,11 +2,11 @@
 
 A plain ``Window.partitionBy(customer)`` puts all rows of one customer into one
 task. A hot customer may own a large share of the table, so the order
-(time, md5(seq), seq) within a customer is cut in two places instead:
+(time, seq) within a customer is cut in two places instead:
 
-* *cells*: rows of one customer at one instant whose md5 starts with the same
-  two digits. Rows are ranked inside a cell only; even one instant holding a
-  third of the table falls into 256 cells.
+* *cells*: rows of one customer at one instant in one range of ``seq``. Rows are
+  ranked inside a cell only; the bounds of the ranges are a sample of ``seq``, so
+  even one instant holding a third of the table falls into many cells.
 * *blocks*: cells of one customer in one stretch of time. Cells, not rows, are
   prefix-summed inside a block, and one total per (customer, block) is carried
   to later blocks.
@@ -28,10 +28,22 @@ BLOCK_SECONDS = 6 * 3600
 _FIRST = Window.unboundedPreceding
 
 
-def tie_break(seq: Column) -> Column:
-    """Order among events of one instant: any fixed order will do, and an md5
-    order can be cut into equal parts."""
-    return F.md5(seq.cast("string"))
+#: Ranges of ``seq`` that an instant is cut into.
+RANGES = 64
+
+
+def _ranges(df: DataFrame, seq: str) -> Column:
+    """Number of the range of ``seq`` that a row is in: how many sampled values lie below it.
+
+    The sample is the values of least hash, so it is spread like the values and
+    the same on every run. It cuts the order; it doesn't decide it.
+    """
+    sample = df.select(F.col(seq).alias("v")).where("v is not null")
+    rows = sample.groupBy("v").agg(F.xxhash64("v").alias("h")).orderBy("h", "v").limit(RANGES - 1).collect()
+    if not rows:
+        return F.lit(0)
+    bounds = F.array(*(F.lit(r.v) for r in sorted(rows)))
+    return F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(seq))), F.lit(0))
 
 
 def with_history(
@@ -46,7 +58,7 @@ def with_history(
     totals: bool = True,
     block_seconds: int = BLOCK_SECONDS,
 ) -> DataFrame:
-    """Add what each row's key did before it, in the order (ts, md5(seq), seq).
+    """Add what each row's key did before it, in the order (ts, seq).
 
     ``h_n`` events before · ``h_prev_us`` time of the one before ·
     ``h_sum`` amount before (``amount`` given) · ``h_max_us`` largest ``latest``
@@ -57,13 +69,11 @@ def with_history(
     """
     # NULL keys form one group of their own, under a text no id has
     group = F.coalesce(F.col(key).cast("string"), F.lit("\u2205"))
-    tie = tie_break(F.col(seq))
     rows = df.select(
         "*",
         group.alias("h_key"),
         micros(F.col(ts)).alias("h_us"),
-        tie.alias("h_tie"),
-        F.substring(tie, 1, 2).alias("h_slot"),
+        _ranges(df, seq).alias("h_slot"),
         (F.coalesce(cents(F.col(amount)), cents(F.lit(0))) if amount else F.lit(0)).alias("h_amt"),
         (micros(F.col(latest)) if latest else F.lit(None).cast("bigint")).alias("h_lat"),
     )
@@ -87,7 +97,7 @@ def with_history(
         columns["s_lat"] = F.greatest("b_lat", "p_lat")
     state = state.select(*[value.alias(name) for name, value in columns.items()])
     # rows and cells meet on the cell, the grouping the row-level rank needs anyway
-    in_cell = Window.partitionBy("h_key", "h_us", "h_slot").orderBy("h_tie", seq)
+    in_cell = Window.partitionBy("h_key", "h_us", "h_slot").orderBy(seq)
     before = in_cell.rowsBetween(_FIRST, -1)
     ranked = rows.join(state, ["h_key", "h_us", "h_slot"], "left").select(
         "*",

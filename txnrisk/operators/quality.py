@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions.columns import MICROS, micros
@@ -93,10 +93,11 @@ def validation_report(df: DataFrame) -> DataFrame:
         line("records", F.lit("all"), F.col("n")),
         *[line("flag", F.lit(name), F.col(name)) for name in REPORT_FLAGS],
     ]
-    total = cells.agg(F.sum("n")).scalar()
     report = cells.select(F.inline(F.array(*lines))).groupBy("section", "item").agg(
         F.sum("n").alias("records")
     )
+    # The report has a few rows; its own "records" line is the total.
+    total = F.max(F.when(F.col("section") == "records", F.col("records"))).over(Window.partitionBy(F.lit(0)))
     return report.withColumn("pct", F.round(F.col("records") * 100 / total, 2))
 
 
@@ -120,18 +121,18 @@ def drift_report(df: DataFrame, cut: float | None = None) -> DataFrame:
     """Merchant risk of fraud rows before and after a step: means, ratio and PSI.
 
     Without ``cut`` the halves meet at half of the largest step. Scores outside
-    0..1 are left out.
+    0..1 have no part in these, but are counted.
     """
     limit = F.lit(cut) if cut is not None else df.agg(F.max("step") * 0.5).scalar()
     risk = F.col("merchant_risk_score")
     cells = (
-        df.where((F.col("is_fraud") == 1) & risk.between(0, 1))
-        .groupBy((F.col("step") > limit).alias("later"), risk_bin(risk).alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum(risk.cast("decimal(18,6)")).alias("total"))
+        df.where((F.col("is_fraud") == 1) & risk.isNotNull())
+        .groupBy((F.col("step") > limit).alias("later"), F.when(risk.between(0, 1), risk_bin(risk)).alias("bin"))
+        .agg(F.count("*").alias("n"), F.sum(F.when(risk.between(0, 1), risk).cast("decimal(18,6)")).alias("total"))
     )
 
     def summed(value: Column, later: bool, bin_: int | None = None) -> Column:
-        here = F.col("later") == F.lit(later)
+        here = (F.col("later") == F.lit(later)) & F.col("bin").isNotNull()
         if bin_ is not None:
             here = here & (F.col("bin") == bin_)
         return F.coalesce(F.sum(F.when(here, value)), F.lit(0))
@@ -140,6 +141,7 @@ def drift_report(df: DataFrame, cut: float | None = None) -> DataFrame:
         summed(F.col("n"), False).alias("n_first"), summed(F.col("n"), True).alias("n_second"),
         summed(F.col("total"), False).alias("t_first"),
         summed(F.col("total"), True).alias("t_second"),
+        F.coalesce(F.sum(F.when(F.col("bin").isNull(), F.col("n"))), F.lit(0)).alias("n_out_of_range"),
         *[summed(F.col("n"), False, b).alias(f"a{b}") for b in range(RISK_BINS)],
         *[summed(F.col("n"), True, b).alias(f"b{b}") for b in range(RISK_BINS)],
     )
@@ -155,7 +157,7 @@ def drift_report(df: DataFrame, cut: float | None = None) -> DataFrame:
     mean_second = mean_of(F.col("t_second"), F.nullif("n_second", F.lit(0)), 4)
     totals = [F.col(t).cast("double") / F.nullif(n, F.lit(0)) for t, n in (("t_second", "n_second"), ("t_first", "n_first"))]
     return wide.select(
-        "n_first", "n_second",
+        "n_first", "n_second", "n_out_of_range",
         mean_first.alias("mean_first"), mean_second.alias("mean_second"),
         F.round(totals[0] / F.nullif(totals[1], F.lit(0.0)), 4).alias("mean_ratio"),
         F.round(psi, 4).alias("psi"),

@@ -5,21 +5,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from txnrisk.operators.envelope import flatten, message_status, parse_times
+
 # Thresholds and weights of the derived columns.
 RISK_TIERS = {"HIGH": 0.75, "MEDIUM": 0.40}
 SIGNAL_WEIGHTS = {"geo_anomaly_flag": 3, "new_device_flag": 2, "duplicate_event_flag": 1}
 BURST_EVENTS, BURST_WEIGHT = 5, 4
 HIGH_RISK_WEIGHT = 3
 
-VALID = "event_id IS NOT NULL AND event_time IS NOT NULL AND transaction_type IS NOT NULL AND amount > 0"
+#: Beyond these, exact sums or the signal score would not fit their types, and one row would stop a run.
+LARGEST_MONEY, LARGEST_RISK = "1e15D", "1e9D"
+MONEY = ("amount", "balance_before", "balance_after", "lifetime_spend")
+UNREPRESENTABLE = " OR ".join(
+    [f"coalesce(abs({c}) >= {LARGEST_MONEY}, FALSE)" for c in MONEY]
+    + [f"coalesce(abs(merchant_risk_score) >= {LARGEST_RISK}, FALSE)"]
+)
+BAD_FLAG = " OR ".join(f"coalesce({c} NOT IN (0, 1), FALSE)" for c in SIGNAL_WEIGHTS)
+
+# An empty id is as good as none: such a row could not be told from another.
+VALID = (
+    "coalesce(event_id, '') <> '' AND event_time IS NOT NULL AND transaction_type IS NOT NULL AND amount > 0 "
+    f"AND NOT ({UNREPRESENTABLE}) AND NOT ({BAD_FLAG})"
+)
 
 #: reason -> predicate that puts a row into quarantine
 QUARANTINE_REASONS = {
-    "missing_event_id": "event_id IS NULL",
+    "missing_event_id": "coalesce(event_id, '') = ''",
     "malformed_event_time": "event_time IS NULL",
     "missing_type": "transaction_type IS NULL",
     "null_amount": "amount IS NULL",
     "non_positive_amount": "amount <= 0",
+    "unrepresentable_value": UNREPRESENTABLE,
+    "flag_out_of_range": BAD_FLAG,
 }
 #: reported, but no reason for quarantine
 REPORT_ONLY_REASONS = {
@@ -95,6 +112,23 @@ def add_silver_columns(df: DataFrame, processed_at: str) -> DataFrame:
     )
 
 
+#: Where a message of a load ends up; each has an output of its own.
+OUTCOMES = ["valid", "corrupted", "dead_letter"]
+
+
+def classified_rows(messages: DataFrame) -> DataFrame:
+    """Typed rows with their ``outcome``; only a dead letter keeps its body.
+
+    A message without an event id is corrupted: it is quarantined with that reason.
+    """
+    status = message_status(messages)
+    dead = F.when(F.col("status") == "dead_letter", F.col("body")).alias("body")
+    rows = parse_times(flatten(status.withColumns({"body": dead}), keep=["status", "body"]))
+    valid = F.coalesce(F.expr(VALID), F.lit(False))
+    outcome = F.when(F.col("status") == "dead_letter", "dead_letter").when(valid, "valid")
+    return rows.withColumn("outcome", outcome.otherwise("corrupted")).drop("status")
+
+
 def to_silver(valid: DataFrame, processed_at: str) -> DataFrame:
     """Valid parsed rows -> the 47 Silver columns."""
     return add_silver_columns(add_date_parts(dedup_events(valid)), processed_at)

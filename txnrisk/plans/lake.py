@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.operators import gold as G
 from txnrisk.operators.envelope import flatten, message_status, parse_times
-from txnrisk.operators.silver import VALID, quarantine_reasons, to_silver
+from txnrisk.operators.silver import OUTCOMES, classified_rows, quarantine_reasons, to_silver
 from txnrisk.schema import GOLD_TABLES
 from txnrisk.sources import files
 
@@ -33,20 +33,6 @@ def typed_rows(messages: DataFrame) -> DataFrame:
     return parse_times(flatten(messages, keep=["status"]))
 
 
-# the first three have an output of their own
-OUTCOMES = ["valid", "corrupted", "dead_letter", "skipped"]
-
-
-def classified_rows(messages: DataFrame) -> DataFrame:
-    """Typed rows with their ``outcome``; only a dead letter keeps its body."""
-    status = message_status(messages)
-    dead = F.when(F.col("status") == "dead_letter", F.col("body")).alias("body")
-    rows = parse_times(flatten(status.withColumns({"body": dead}), keep=["status", "body"]))
-    valid = F.coalesce(F.expr(VALID), F.lit(False))
-    outcome = F.when(F.col("status") != "parsed", F.col("status")).when(valid, "valid")
-    return rows.withColumn("outcome", outcome.otherwise("corrupted")).drop("status")
-
-
 def gold_frames(silver: DataFrame, run_date: str, location: str = "", database: str = "") -> dict[str, DataFrame]:
     """All Gold tables over a Silver table."""
     return {
@@ -58,8 +44,15 @@ def gold_frames(silver: DataFrame, run_date: str, location: str = "", database:
     }
 
 
+#: A run stops when a larger share of its messages can't be read at all.
+UNREADABLE_SHARE = 0.5
+
+
 def bronze_to_silver(spark: SparkSession, bronze: str, out: str, run_ts: str, run_id: str) -> dict[str, int]:
-    """Parse, quarantine, de-duplicate and write Silver; returns the run counters."""
+    """Parse, quarantine, de-duplicate and write Silver; returns the run counters.
+
+    input = output + duplicates_removed + corrupted + dead_letter: no message is lost.
+    """
     messages = files.read_bronze(spark, bronze)
     require_rows(messages, bronze)
     # The raw text is read and parsed once: typed rows are staged by outcome, and
@@ -70,9 +63,12 @@ def bronze_to_silver(spark: SparkSession, bronze: str, out: str, run_ts: str, ru
     counts = [F.count_if(outcome == name).alias(name) for name in OUTCOMES]
     staged = classified_rows(messages).observe(seen, F.count(F.lit(1)).alias("input"), *counts)
     staged.write.mode("overwrite").partitionBy("outcome").parquet(staging)
+    if seen.get["dead_letter"] > UNREADABLE_SHARE * seen.get["input"]:
+        files.remove(spark, staging)
+        raise ValueError(f"{seen.get['dead_letter']} of {seen.get['input']} messages can't be read")
 
     rows = spark.read.schema(staged.schema).parquet(staging)
-    good, bad, dead = [rows.where(outcome == n).drop("outcome") for n in OUTCOMES[:3]]
+    good, bad, dead = [rows.where(outcome == n).drop("outcome") for n in OUTCOMES]
     silver = to_silver(good.drop("body"), run_ts).observe(written, F.count(F.lit(1)).alias("output"))
     files.write_silver(silver, f"{out}/silver")
     files.write_quarantine(quarantine_reasons(bad.drop("body")), f"{out}/quarantine", run_id)

@@ -7,21 +7,41 @@ half up), so twins round that text, cut to ten decimals, as a decimal.
 
 from __future__ import annotations
 
-from txnrisk.functions import columns as C
-from txnrisk.operators import rules as R
 from txnrisk.plans import queries as Q
-from txnrisk.schema import FEATURES, NULLABLE_COLUMNS
 
 
 def rnd(x: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,10)), {digits}) AS DOUBLE)"
 
 
+DEVICE_TYPES = {"iPhone": 35, "Android": 35, "Web": 20, "Tablet": 10}
+SEGMENTS = {"Student": 20, "Traveler": 15, "Business": 25, "High Spender": 15, "Family": 25}
+RISK_PROFILES = {"Low": 65, "Medium": 25, "High": 10}
+DISPUTE_OUTCOMES = {"Approved": 70, "Denied": 20, "Under Review": 10}
+OPERATING_SYSTEMS = {
+    "iPhone": {"iOS 16": 1, "iOS 17": 1},
+    "Android": {"Android 13": 1, "Android 14": 1},
+    "Web": {"Chrome/Windows": 1, "Safari/macOS": 1, "Firefox/Linux": 1},
+    "Tablet": {"iPadOS 16": 1, "Android 13": 1},
+}
+FEATURES = (
+    "merchant_risk_score", "velocity_5min", "velocity_1hour", "geo_anomaly_flag", "new_device_flag",
+    "balance_mismatch_flag", "amount", "rule_signal_score",
+)
+NULLABLE_COLUMNS = (
+    "merchant_category", "ip_address", "device_age_days", "days_since_last_tx", "merchant_risk_score",
+    "customer_segment", "device_type", "ip_risk_score",
+)
+
+
 def pick(key: str, weights: dict[str, float], salt: str) -> str:
-    part = f"substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8)"
-    limits = C.share_limits(weights)
-    cases = " ".join(f"WHEN {part} < '{limit}' THEN '{value}'" for value, limit in limits[:-1])
-    return f"CASE {cases} ELSE '{limits[-1][0]}' END"
+    """The value whose share of 2**32 the first eight hex digits of the key's hash fall into."""
+    part = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || '|{salt}'), 1, 8) AS BIGINT)"
+    cases, reached, names = "", 0, list(weights)
+    for name in names[:-1]:
+        reached += weights[name]
+        cases += f" WHEN {part} < {2**32 * reached // sum(weights.values())} THEN '{name}'"
+    return f"CASE{cases} ELSE '{names[-1]}' END" if cases else f"'{names[-1]}'"
 
 
 def stable_int(key: str, low: int, high: int, salt: str) -> str:
@@ -29,7 +49,7 @@ def stable_int(key: str, low: int, high: int, salt: str) -> str:
     return f"CAST({number} % {high - low + 1} + {low} AS INTEGER)"
 
 
-TIE = "md5(event_id), event_id"
+TIE = "event_id"
 
 BASE = f"""
 ev AS (
@@ -53,7 +73,7 @@ base AS (
     c_mktsegment AS customer_segment, cn.n_name AS customer_country, sn.n_name AS merchant_country,
     p_type AS merchant_category, CAST(user_id % 3 AS INTEGER) AS device_slot,
     'DEV-' || upper(substr(md5('C' || user_id || ':slot' || (user_id % 3)), 1, 12)) AS device_id,
-    {pick("'C' || user_id", C.DEVICE_TYPES, 'device')} AS device_type,
+    {pick("'C' || user_id", DEVICE_TYPES, 'device')} AS device_type,
     CAST(n % 50 AS INTEGER) AS device_age_days, CASE WHEN n % 50 < 2 THEN 1 ELSE 0 END AS new_device_flag,
     CASE WHEN n % 33 <> 0 THEN k / 100.0::DOUBLE END AS risk,
     CASE WHEN n % 40 <> 5 THEN '10.' || (user_id // 65536 % 256) || '.' || (user_id // 256 % 256) || '.' || (user_id % 256) END AS ip_address,
@@ -95,14 +115,19 @@ deliveries AS (
   UNION ALL SELECT * REPLACE ('EVT-D' || lpad(CAST(n AS VARCHAR), 15, '0') AS event_id), 120, 1 FROM tx WHERE n % 71 = 0),
 received AS (
   SELECT * REPLACE (
-      CASE WHEN n % 200 = 7 THEN -amount WHEN n % 200 <> 11 THEN amount END AS amount,
+      CASE WHEN n % 200 = 29 THEN '' WHEN n % 200 <> 23 THEN event_id END AS event_id,
+      CASE WHEN n % 200 <> 31 THEN transaction_type END AS transaction_type,
+      CASE WHEN n % 200 = 43 THEN 2147483647 ELSE geo_anomaly_flag END AS geo_anomaly_flag,
+      CASE WHEN n % 200 = 7 THEN -amount WHEN n % 200 = 37 THEN 1e17::DOUBLE WHEN n % 200 <> 11 THEN amount END AS amount,
       CASE WHEN n % 200 <> 13 THEN event_time END AS event_time,
-      CASE WHEN n % 200 = 17 THEN 99.9 ELSE merchant_risk_score END AS merchant_risk_score,
+      CASE WHEN n % 200 = 17 THEN 99.9::DOUBLE WHEN n % 200 = 41 THEN 1e13::DOUBLE ELSE merchant_risk_score END AS merchant_risk_score,
       arrival_time + to_seconds(extra) AS arrival_time),
     n % 500 = 499 AS unreadable
   FROM deliveries),
-parsed AS (SELECT * FROM received WHERE NOT unreadable),
-valid AS (SELECT * FROM parsed WHERE event_time IS NOT NULL AND amount > 0),
+readable AS (SELECT *, strftime(arrival_time, '%Y-%m-%dT%H:%M:%S') AS produced_at, 'paysim-enhanced-v1' AS source FROM received WHERE NOT unreadable),
+parsed AS (SELECT * FROM readable WHERE event_id <> ''),
+valid AS (SELECT * FROM parsed WHERE event_time IS NOT NULL AND amount > 0 AND amount < 1e15 AND transaction_type IS NOT NULL
+  AND coalesce(merchant_risk_score < 1e9, TRUE) AND geo_anomaly_flag IN (0, 1)),
 silver AS (
   SELECT *, year(event_time)::INTEGER AS year, month(event_time)::INTEGER AS month, day(event_time)::INTEGER AS day,
     CASE WHEN transaction_type = 'TRANSFER' AND balance_after = balance_before THEN 1 ELSE 0 END AS balance_mismatch_flag,
@@ -191,8 +216,21 @@ def texts(cases: dict[str, str]) -> str:
     return f"concat_ws(',', {parts})"
 
 
+# Rules, thresholds and weights stand here once more, so that a slip in the code under test shows.
+MISMATCH = "transaction_type = 'TRANSFER' AND balance_before > 0 AND balance_after = balance_before AND amount > 0"
+WEIGHTS = {
+    "HIGH_VELOCITY_5MIN": 4, "HIGH_RISK_MERCHANT": 3, "GEO_ANOMALY_NEW_DEVICE": 5, "BALANCE_MISMATCH_TRANSFER": 4,
+    "PAYSIM_FRAUD_LABEL": 2,
+}
+
+
 def rule_cases(profile: str, velocity: str) -> dict[str, str]:
-    return {r.name: r.test.format(velocity=velocity) for r in R.RULES[profile]}
+    cases = {
+        "HIGH_VELOCITY_5MIN": f"{velocity} >= 5", "HIGH_RISK_MERCHANT": "merchant_risk_score >= 0.75",
+        "GEO_ANOMALY_NEW_DEVICE": "geo_anomaly_flag = 1 AND new_device_flag = 1", "BALANCE_MISMATCH_TRANSFER": MISMATCH,
+        "PAYSIM_FRAUD_LABEL": "is_fraud = 1",
+    }
+    return {n: t for n, t in cases.items() if profile == "online" or n != "BALANCE_MISMATCH_TRANSFER"}
 
 
 def any_of(cases: dict[str, str]) -> str:
@@ -200,9 +238,7 @@ def any_of(cases: dict[str, str]) -> str:
 
 
 def total_score(velocity: str) -> str:
-    return " + ".join(
-        f"CASE WHEN {r.test.format(velocity=velocity)} THEN {r.weight} ELSE 0 END" for r in R.RULES["online"]
-    )
+    return " + ".join(f"CASE WHEN {test} THEN {WEIGHTS[name]} ELSE 0 END" for name, test in rule_cases("online", velocity).items())
 
 
 def live(source: str, **widths: str) -> str:
@@ -222,10 +258,17 @@ CONSUMER = rule_cases("consumer", "velocity_5min")
 ALERT_SUBJECT = (
     f"'[FRAUD ALERT] Risk Score ' || ({total_score('v')}) || ' — ' || transaction_type || ' $' || format('{{:.2f}}', amount)"
 )
-PATTERN_CASES = {name: test.format(small=Q.SMALL_AMOUNT) for name, test in R.PATTERNS.items()}
+PATTERN_CASES = {
+    "card_testing": "velocity_5min > 5 AND amount <= 10", "account_takeover": "new_device_flag = 1 AND geo_anomaly_flag = 1",
+    "impossible_travel": "geo_anomaly_flag = 1 AND days_since_last_tx < 0.02",
+    "merchant_abuse": "merchant_risk_score > 0.70 AND transaction_type = 'CASH_OUT'",
+    "friendly_fraud": "is_fraud = 0 AND chargeback_status = 'Filed'",
+}
 REASONS = {
-    "malformed_event_time": "event_time IS NULL", "null_amount": "amount IS NULL",
-    "non_positive_amount": "amount <= 0", "risk_out_of_range": "merchant_risk_score > 1",
+    "missing_event_id": "coalesce(event_id, '') = ''", "malformed_event_time": "event_time IS NULL",
+    "missing_type": "transaction_type IS NULL", "null_amount": "amount IS NULL", "non_positive_amount": "amount <= 0",
+    "unrepresentable_value": "amount >= 1e15 OR merchant_risk_score >= 1e9", "flag_out_of_range": "geo_anomaly_flag > 1",
+    "risk_out_of_range": "merchant_risk_score > 1",
 }
 PER_REPORT = "CAST(count(*) AS BIGINT)"
 
@@ -283,12 +326,12 @@ def created(key: str, low: int, high: int, salt: str) -> str:
 def dispute(where: str) -> str:
     return f"""SELECT 'CB-' || upper(substr(md5(event_id || '|cb'), 1, 10)) AS chargeback_id, event_id AS transaction_id,
         customer_id, {stable_int('event_id', 7, 90, 'days')} AS days_to_dispute,
-        {pick('event_id', C.DISPUTE_OUTCOMES, 'outcome')} AS resolution_status FROM tx WHERE {where}"""
+        {pick('event_id', DISPUTE_OUTCOMES, 'outcome')} AS resolution_status FROM tx WHERE {where}"""
 
 
 def operating_system() -> str:
     cases = " ".join(
-        f"WHEN '{kind}' THEN {pick('device_id', names, 'os')}" for kind, names in C.OPERATING_SYSTEMS.items()
+        f"WHEN '{kind}' THEN {pick('device_id', names, 'os')}" for kind, names in OPERATING_SYSTEMS.items()
     )
     return f"CASE device_type {cases} END"
 
@@ -316,16 +359,26 @@ TWINS = {
     **{name: (LAKE, sql) for name, sql in GOLD.items()},
     **{name: (LAKE, sql) for name, sql in SAVED.items()},
     "silver_rows": (LAKE, SILVER_SELECT),
-    "quarantine_reasons": (LAKE, f"SELECT event_id, {texts(REASONS)} AS reasons FROM parsed WHERE {any_of(REASONS)}"),
+    "quarantine_reasons": (LAKE, f"SELECT event_id, {texts(REASONS)} AS reasons FROM readable WHERE {any_of(REASONS)}"),
     "dedup_events": (LAKE, "SELECT event_id, arrival_time, customer_id, amount FROM silver"),
-    "dead_letters": (LAKE, "SELECT CASE WHEN unreadable THEN 'dead_letter' ELSE 'parsed' END AS status, count(*) AS messages FROM received GROUP BY 1"),
-    "routing_attributes": (LAKE, "SELECT event_id, schema_version, CAST(is_fraud AS VARCHAR) AS is_fraud, customer_id FROM parsed"),
+    "dead_letters": (LAKE, "SELECT CASE WHEN unreadable THEN 'dead_letter' WHEN coalesce(event_id, '') = '' THEN 'skipped' ELSE 'parsed' END AS status, count(*) AS messages FROM received GROUP BY 1"),
+    "routing_attributes": (LAKE, "SELECT event_id, schema_version, CAST(is_fraud AS VARCHAR) AS is_fraud, customer_id FROM readable"),
     "online_times": (LAKE, "SELECT event_id, coalesce(event_time, arrival_time) AS event_time, arrival_time FROM parsed"),
     "oversize_split": ("", f"""SELECT doc_id, CAST(strlen(text) AS INTEGER) AS body_bytes,
         CASE WHEN strlen(text) > {Q.OVERSIZE_LIMIT} THEN 'rejected' ELSE 'ok' END AS outcome FROM documents"""),
-    "promote_bronze": (LAKE, "SELECT CASE WHEN unreadable THEN 'skipped' ELSE 'uploaded' END AS status, count(*) AS records FROM received GROUP BY 1"),
+    "promote_bronze": (LAKE, """SELECT strftime(arrival_time, '%Y-%m-%d') AS day, count(*) AS records,
+        count(DISTINCT event_id) AS ids FROM readable GROUP BY 1"""),
+    "conservation": (LAKE, """SELECT path, (SELECT count(*) FROM received) AS input, (SELECT count(*) FROM silver) AS silver,
+        (SELECT count(*) FROM readable) - (SELECT count(*) FROM valid) AS quarantine, (SELECT count(*) FROM received WHERE unreadable) AS dead_letters,
+        (SELECT count(*) FROM valid) - (SELECT count(*) FROM silver) AS duplicates FROM (VALUES ('batch'), ('incremental')) p(path)"""),
+    "stream_sample": (LAKE, "SELECT event_id, arrival_time FROM parsed ORDER BY arrival_time, event_id LIMIT 100"),
+    "stream_dedup": (LAKE, "SELECT DISTINCT event_id FROM parsed"),
+    "stream_scored": (LAKE, f"SELECT event_id, {total_score('0')} AS base_score FROM parsed QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival_time) = 1"),
+    "stream_sliding": (LAKE, """SELECT customer_id, window_start, count(*) AS events FROM (
+        SELECT customer_id, time_bucket(INTERVAL 5 MINUTE, coalesce(event_time, arrival_time)) - to_minutes(5 * i) AS window_start FROM parsed, range(12) t(i))
+        GROUP BY customer_id, window_start"""),
     "etl_counters": (LAKE, """SELECT (SELECT count(*) FROM received) AS input_records,
-        (SELECT count(*) FROM received WHERE unreadable) AS dead_letters, CAST(0 AS BIGINT) AS skipped,
+        (SELECT count(*) FROM received WHERE unreadable) AS dead_letters, (SELECT count(*) FROM readable WHERE coalesce(event_id, '') = '') AS skipped,
         (SELECT count(*) FROM valid) AS valid_records,
         (SELECT count(*) FROM parsed) - (SELECT count(*) FROM valid) AS corrupted_records,
         (SELECT count(*) FROM valid) - (SELECT count(*) FROM silver) AS duplicates_removed,
@@ -339,8 +392,8 @@ TWINS = {
     "geo_anomaly": (BASE, "SELECT event_id, geo_anomaly_flag FROM tx"),
     "season_tags": (BASE, "SELECT event_id, step, traffic_period, schema_version, TIMESTAMP '2023-01-01' + to_hours(step) AS step_time FROM tagged"),
     "device_ids": (BASE, "SELECT event_id, device_id, device_type, new_device_flag FROM base"),
-    "assign_stable": ("", f"""SELECT c_custkey, {pick('c_name', C.SEGMENTS, 'segment')} AS segment,
-        {pick('c_name', C.RISK_PROFILES, 'risk')} AS risk_profile, {stable_int('c_name', 30, 1824, 'account')} AS account_days FROM customer"""),
+    "assign_stable": ("", f"""SELECT c_custkey, {pick('c_name', SEGMENTS, 'segment')} AS segment,
+        {pick('c_name', RISK_PROFILES, 'risk')} AS risk_profile, {stable_int('c_name', 30, 1824, 'account')} AS account_days FROM customer"""),
     "rules_online": (LAKE + LIVE_5M, f"SELECT event_id, {texts(ONLINE)} AS rules, {any_of(ONLINE)} AS is_flagged, {total_score('v')} AS risk_score FROM live"),
     "rules_online_day": (LAKE + LIVE_1D, f"SELECT event_id, {texts(ONLINE)} AS rules, {any_of(ONLINE)} AS is_flagged, {total_score('v')} AS risk_score, v AS velocity_5min_live FROM live"),
     "rules_consumer": (LAKE, f"SELECT event_id, {texts(CONSUMER)} AS rules, {any_of(CONSUMER)} AS is_flagged FROM silver"),
@@ -352,7 +405,7 @@ TWINS = {
         {texts(CONSUMER)} AS triggered_rules, merchant_risk_score AS merchant_risk, geo_anomaly_flag AS geo_anomaly,
         velocity_5min, is_fraud AS "isFraud_label", '{Q.RUN_TS}' AS alerted_at FROM silver WHERE {any_of(CONSUMER)}"""),
     "pattern_tags": (LAKE, f"SELECT event_id, {texts(PATTERN_CASES)} AS patterns FROM silver WHERE {any_of(PATTERN_CASES)}"),
-    "processing_stats": (LAKE, f"""SELECT (SELECT count(*) FROM silver) AS processed, CAST(0 AS BIGINT) AS skipped,
+    "processing_stats": (LAKE, f"""SELECT (SELECT count(*) FROM silver) AS processed, (SELECT count(*) FROM readable WHERE coalesce(event_id, '') = '') AS skipped,
         (SELECT count(*) FROM silver WHERE {any_of(CONSUMER)}) AS flagged, (SELECT count(*) FROM received WHERE unreadable) AS errors,
         {rnd(f'(SELECT count(*) FROM silver WHERE {any_of(CONSUMER)}) * 100 / (SELECT count(*) FROM silver)::DOUBLE', 1)} AS flag_rate_pct"""),
     "late_arrivals": (LAKE, f"""SELECT event_id, 1 AS is_late,
@@ -373,7 +426,7 @@ TWINS = {
         count(*) FILTER (t.is_fraud <> s.is_fraud) AS is_fraud_mismatches,
         count(*) FILTER (t.is_flagged_fraud <> s.is_flagged_fraud) AS is_flagged_fraud_mismatches
         FROM tx t FULL JOIN silver s ON t.event_id = s.event_id"""),
-    "drift": (LAKE, f"""SELECT count(*) FILTER (NOT later) AS n_first, count(*) FILTER (later) AS n_second,
+    "drift": (LAKE, f"""SELECT count(*) FILTER (NOT later) AS n_first, count(*) FILTER (later) AS n_second, (SELECT count(*) FROM silver WHERE is_fraud = 1 AND NOT merchant_risk_score BETWEEN 0 AND 1) AS n_out_of_range,
         {rnd(half_mean('FALSE'), 4)} AS mean_first, {rnd(half_mean('TRUE'), 4)} AS mean_second,
         {rnd(f"({half_mean('TRUE')}) / ({half_mean('FALSE')})", 4)} AS mean_ratio, {psi()} AS psi
         FROM (SELECT merchant_risk_score, step > 360 AS later, least(floor(merchant_risk_score * 10), 9) AS bin
@@ -388,7 +441,7 @@ TWINS = {
     "customers_dim": (BASE + ", " + first_seen("customer_id", "customer_segment, customer_country, device_slot"),
         f"""SELECT customer_id, customer_segment, customer_country AS home_country,
         {created('customer_id', 30, 1824, 'account')} AS account_creation_date,
-        {pick('customer_id', C.RISK_PROFILES, 'risk')} AS risk_profile, device_slot AS preferred_device_type FROM first"""),
+        {pick('customer_id', RISK_PROFILES, 'risk')} AS risk_profile, device_slot AS preferred_device_type FROM first"""),
     "merchants_dim": (BASE + ", " + first_seen("merchant_id", "merchant_category, merchant_country, merchant_risk_score"),
         f"""SELECT merchant_id, merchant_category, merchant_country, {rnd('coalesce(merchant_risk_score, 0.1::DOUBLE)', 4)} AS merchant_risk_score,
         {created('merchant_id', 60, 3649, 'merchant')} AS merchant_creation_date FROM first"""),
@@ -399,7 +452,7 @@ TWINS = {
     "replay": (BASE, """SELECT CASE WHEN r = 0 THEN event_id ELSE 'EVT-' || upper(substr(md5(event_id || '|' || r), 1, 16)) END AS event_id,
         CAST(r AS INTEGER) AS replay_round, customer_id, amount FROM tx, range(10) t(r)"""),
     "enriched_with_dims": (LAKE + ", " + first_seen("customer_id", "customer_country") + ", shop AS (SELECT merchant_id, merchant_category FROM tx QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY event_time, event_id) = 1)",
-        f"""SELECT s.event_id, f.customer_country AS home_country, {pick('s.customer_id', C.RISK_PROFILES, 'risk')} AS risk_profile,
+        f"""SELECT s.event_id, f.customer_country AS home_country, {pick('s.customer_id', RISK_PROFILES, 'risk')} AS risk_profile,
         m.merchant_category AS dim_merchant_category FROM silver s LEFT JOIN first f ON f.customer_id = s.customer_id
         LEFT JOIN shop m ON m.merchant_id = s.merchant_id"""),
     "idempotent_skip": (LAKE, f"""SELECT event_id, min(arrival_time) AS arrival_time FROM parsed WHERE event_id NOT IN (

@@ -50,9 +50,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType | str) ->
     return spark.createDataFrame([], schema)
 
 
-def sample_stream(df: DataFrame, n: int) -> DataFrame:
-    """Any ``n`` records of a source, for a look at it."""
-    return df.limit(n)
+def sample_stream(df: DataFrame, n: int, order: list[Column] | None = None) -> DataFrame:
+    """The first ``n`` records of a source in the given order (a top-k, no full sort), for a look at it."""
+    return df.orderBy(*order).limit(n) if order else df.limit(n)
 
 
 # ---------------------------------------------------------------- sinks
@@ -64,13 +64,13 @@ def by_partition(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.hint("rebalance", *columns)
 
 
-def write_bronze(messages: DataFrame, path: str, ingest_time: Column, body: str = "body") -> None:
-    """Raw messages under the date they were taken in, many per file."""
+def write_bronze(messages: DataFrame, path: str, ingest_time: Column, run_id: str = "run", body: str = "body") -> None:
+    """Raw messages of a run under the date they were taken in, many per file; a rerun replaces its own."""
     dated = messages.select(
         F.col(body).alias("value"), F.date_format(ingest_time, "yyyy").alias("year"),
         F.date_format(ingest_time, "MM").alias("month"), F.date_format(ingest_time, "dd").alias("day"),
     )
-    by_partition(dated, DATE_PARTS).write.mode("append").partitionBy(*DATE_PARTS).text(path)
+    by_partition(dated, DATE_PARTS).write.mode("overwrite").partitionBy(*DATE_PARTS).text(f"{path}/run_id={run_id}")
 
 
 def write_quarantine(rows: DataFrame, path: str, run_id: str) -> None:
@@ -143,21 +143,25 @@ def promotion_counts(messages: DataFrame, body: str = "body") -> DataFrame:
     return messages.groupBy(status.alias("status")).agg(F.count("*").alias("records"))
 
 
-def promote_bronze(spark: SparkSession, source: str, target: str) -> dict[str, int]:
+def promote_bronze(spark: SparkSession, source: str, target: str, run_id: str = "promoted") -> dict[str, int]:
     """Copy valid messages to another lake; counts come from the same pass.
 
+    Messages keep the day of their folder (``year=/month=/day=`` or ``yyyy/mm/dd``, wherever
+    it stands in the path) as text. A run replaces its own earlier copy and nothing else.
     A record that cannot be written fails the job, so ``errors`` is 0 on return.
     """
     seen = Observation()
-    checked = spark.read.text(source).withColumn("_status", json_status(F.col("value")))
+    place = F.regexp_replace(F.col("_metadata.file_path"), "(year|month|day)=", "")
+    read = spark.read.option("recursiveFileLookup", "true").text(source)
+    dated = [F.regexp_extract(place, r"/(\d{4})/(\d{2})/(\d{2})/", k + 1).alias(p) for k, p in enumerate(DATE_PARTS)]
+    checked = read.select("value", *dated).withColumn("_status", json_status(F.col("value")))
     counted = checked.observe(
         seen,
         F.count_if(F.col("_status") == "uploaded").alias("uploaded"),
         F.count_if(F.col("_status") == "skipped").alias("skipped"),
     )
     good = counted.where("_status = 'uploaded'").drop("_status")
-    parts = [c for c in good.columns if c != "value"]
-    good.write.mode("overwrite").partitionBy(*parts).text(target)
+    by_partition(good, DATE_PARTS).write.mode("overwrite").partitionBy(*DATE_PARTS).text(f"{target}/run_id={run_id}")
     return {**seen.get, "errors": 0}
 
 
@@ -168,16 +172,14 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def drop_partitions_before(spark: SparkSession, path: str, column: str, first_kept: str) -> int:
-    """Delete partition folders ``column=value`` with a smaller value (text order)."""
+    """Delete partition folders ``column=value`` with a smaller value (text order), here or one level below."""
     jvm = spark._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return 0
     dropped = 0
-    for entry in fs.listStatus(root):
-        name, _, value = entry.getPath().getName().partition("=")
-        if name == column and value < first_kept:
-            fs.delete(entry.getPath(), True)
-            dropped += 1
+    for pattern in (f"{column}=*", f"*/{column}=*"):
+        for entry in fs.globStatus(jvm.org.apache.hadoop.fs.Path(root, pattern)) or []:
+            if entry.getPath().getName().partition("=")[2] < first_kept:
+                fs.delete(entry.getPath(), True)
+                dropped += 1
     return dropped

@@ -139,9 +139,11 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_faults(tx: DataFrame) -> DataFrame:
     """Delivery rows: bad values, re-deliveries and content copies, times as text."""
     n = F.col("n")
-    amount = F.when(n % 200 == 7, -F.col("amount")).when(n % 200 != 11, F.col("amount"))
+    amount = F.when(n % 200 == 7, -F.col("amount")).when(n % 200 == 37, 1e17).when(n % 200 != 11, F.col("amount"))
     event_text = F.when(n % 200 == 13, BAD_TIME).otherwise(C.iso_text(F.col("event_time")))
-    risk = F.when(n % 200 == 17, 99.9).otherwise(F.col("merchant_risk_score"))
+    risk = F.when(n % 200 == 17, 99.9).when(n % 200 == 41, 1e13).otherwise(F.col("merchant_risk_score"))
+    flag = F.when(n % 200 == 43, 2147483647).otherwise(F.col("geo_anomaly_flag"))
+    named = F.when(n % 200 == 29, "").when(n % 200 != 23, F.col("d.event_id"))
 
     def delivery(extra: int, event_id, duplicate: int):
         return F.struct(
@@ -159,7 +161,9 @@ def with_faults(tx: DataFrame) -> DataFrame:
     rows = tx.select("*", F.explode(deliveries).alias("d"))
     return rows.withColumns(
         {
-            "event_id": F.col("d.event_id"),
+            "event_id": named,
+            "geo_anomaly_flag": flag,
+            "transaction_type": F.when(n % 200 != 31, F.col("transaction_type")),
             "duplicate_event_flag": F.col("d.dup"),
             "amount": amount,
             "merchant_risk_score": risk,

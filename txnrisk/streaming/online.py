@@ -4,8 +4,10 @@ incremental Silver.
 State that must outlive a micro-batch and may be large for one customer (event
 times, processed ids) is kept in tables partitioned by time, not in a per-key
 state function: a hot customer then spreads over tasks like in the batch job.
-Every output of a batch goes to a folder of that batch id, and a batch reads
-only what smaller ids wrote, so a repeated batch gives the same result.
+Every output of a batch goes to a folder of that batch id, replaced as a whole,
+and a batch reads only what smaller ids wrote. The clock of a batch is kept in a
+record that is written before anything else, so a repeated batch, also one after
+midnight, gives the same result in the same places.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnrisk.operators import envelope, history, ledger, rules, silver
 from txnrisk.operators.quality import processing_stats
-from txnrisk.sources.files import by_partition, drop_partitions_before, read_or_empty
+from txnrisk.sources.files import DATE_PARTS, by_partition, drop_partitions_before, read_or_empty, remove
 from txnrisk.storage import join_dimension
 
 # Lifetime of velocity state, lateness covered, window sizes.
@@ -94,14 +96,39 @@ def run_to_table(stream: DataFrame, path: str, mode: str = "append") -> Streamin
     )
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Write the partitions that occur in ``df``, in place of what they held."""
-    (
-        by_partition(df, by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by).parquet(path)
+def updates_to_table(stream: DataFrame, path: str) -> StreamingQuery:
+    """Write each batch's changed rows below its id, for everything available, then stop.
+
+    With :func:`newest_rows` these give every row in its last state, also those
+    that a watermark would still keep open.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        stream.writeStream.outputMode("update").foreachBatch(write)
+        .option("checkpointLocation", f"{path}.checkpoint").trigger(availableNow=True).start()
     )
 
 
+def newest_rows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Of what :func:`updates_to_table` wrote, the last version of each key."""
+    log = spark.read.parquet(path)
+    return silver.keep_one(log, keys, [F.desc("batch_id")]).drop("batch_id")
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, by: list[str], name: str = "batch_id") -> None:
+    """The rows of one batch by folder, in place of all that the batch wrote before."""
+    by_partition(df, by).write.mode("overwrite").partitionBy(*by).parquet(f"{path}/{name}={batch_id}")
+
+
+def days_of(df: DataFrame, column: str, most: int = 1000) -> list | None:
+    """The different days of a batch; None if there are more than ``most``."""
+    rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()
+    return None if len(rows) > most else [r[0] for r in rows]
+
+
 # ---------------------------------------------------------------- live velocity over stored times
 
 
@@ -142,10 +169,19 @@ class OnlineJob:
             .trigger(**(trigger or {"availableNow": True})).start()
         )
 
+    def clock(self, spark: SparkSession, batch_id: int) -> str:
+        """The batch's clock: what an earlier try of it recorded, or now."""
+        path = f"{self.path('clock')}/batch_id={batch_id}"
+        kept = read_or_empty(spark, path, "value string").first()
+        if kept:
+            return kept.value
+        text = self.now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        spark.range(1).select(F.lit(text).alias("value")).coalesce(1).write.mode("overwrite").parquet(path)
+        return text
+
     def process(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        # one clock value per batch, fixed before anything reads it
-        now_text = self.now or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+        now_text = self.clock(spark, batch_id)
         now = F.expr(f"timestamp_ntz'{now_text}'")
         # shared by several outputs; lost blocks are recomputed from the source
         missing = "skipped" if self.profile == "online" else "dead_letter"
@@ -169,14 +205,14 @@ class OnlineJob:
             return rules.apply_rules(fresh, self.profile)
         spark = fresh.sparkSession
         times = read_or_empty(spark, self.path("times"), TIMES_SCHEMA)
-        t = F.col("event_time")
-        span = fresh.agg(F.min(t).alias("low"), F.max(t).alias("high")).first()
         stored = times.where(F.col("batch_id") < batch_id)
-        if span.low is not None:
-            low = span.low - timedelta(seconds=max(VELOCITY_WINDOWS.values()))
-            # days prune folders, times prune row groups
-            stored = stored.where(F.col("event_date").between(low.date(), span.high.date()))
-            stored = stored.where(f"event_time BETWEEN timestamp_ntz'{low}' AND timestamp_ntz'{span.high}'")
+        # Days of the batch and the days before them, not all between the first and the last: one
+        # event with a far-off time doesn't open the whole store. Only customers of the batch count.
+        days = days_of(fresh.select(F.to_date("event_time").alias("d")), "d")
+        if days is not None:
+            reach = range(-(-max(VELOCITY_WINDOWS.values()) // 86400) + 1)
+            stored = stored.where(F.col("event_date").isin([d - timedelta(days=k) for d in days for k in reach]))
+        stored = stored.join(fresh.select("customer_id").distinct(), "customer_id", "left_semi")
         return rules.apply_rules(live_velocity(fresh, stored))
 
     def _write(self, status: DataFrame, scored: DataFrame, now: Column, now_text: str, batch_id: int) -> None:
@@ -184,17 +220,16 @@ class OnlineJob:
         dead = status.where("status = 'dead_letter'").select("body")
         dead.write.mode("overwrite").text(f"{self.path('dead_letters')}/{part}")
         scored.select("body").withColumnRenamed("body", "value").write.mode("overwrite").text(
-            f"{self.path('bronze')}/{now_text[:10].replace('-', '/')}/{part}"
+            f"{self.path('bronze')}/{part}/" + "/".join(f"{n}={v}" for n, v in zip(DATE_PARTS, now_text[:10].split("-")))
         )
         events = scored.drop("body").withColumns({"processed_at": now, "event_date": F.to_date("event_time")})
-        self._replace(events.withColumn("batch_id", F.lit(batch_id)), "events", ["event_date", "batch_id"])
+        self._write_batch(events, "events", batch_id, ["event_date"])
         records = rules.alert_records(scored, self.profile, now_text)
         records.write.mode("overwrite").json(f"{self.path('alerts')}/{part}")
 
         if self.profile == "online":
             times = scored.select("customer_id", "event_time").distinct()
-            times = times.withColumns({"event_date": F.to_date("event_time"), "batch_id": F.lit(batch_id)})
-            self._replace(times, "times", ["event_date", "batch_id"])
+            self._write_batch(times.withColumn("event_date", F.to_date("event_time")), "times", batch_id, ["event_date"])
 
         done = scored.select("event_id", "is_flagged", F.lit("processed").alias("status"))
         unread = status.where("status <> 'parsed'").select(
@@ -207,14 +242,13 @@ class OnlineJob:
         )
         stats.write.mode("overwrite").json(f"{self.path('stats')}/{part}")
         # last: only a batch whose outputs are complete is marked as processed
-        marks = ledger.mark_processed(scored, now).withColumn("batch_id", F.lit(batch_id))
-        self._replace(marks, "ledger", ["processed_date", "batch_id"])
+        self._write_batch(ledger.mark_processed(scored, now), "ledger", batch_id, ["processed_date"])
 
-    def _replace(self, df: DataFrame, name: str, by: list[str]) -> None:
-        replace_partitions(df, self.path(name), by)
+    def _write_batch(self, df: DataFrame, name: str, batch_id: int, by: list[str]) -> None:
+        write_batch(df, self.path(name), batch_id, by)
 
     def expire(self, spark: SparkSession, times_from: str, events_from: str, ledger_from: str) -> None:
-        """Drop entries dated before the given days: whole folders, no rewrite."""
+        """Drop entries dated before the given days, in every batch's folder: no rewrite."""
         drop_partitions_before(spark, self.path("times"), "event_date", times_from)
         drop_partitions_before(spark, self.path("events"), "event_date", events_from)
         drop_partitions_before(spark, self.path("ledger"), "processed_date", ledger_from)
@@ -230,10 +264,11 @@ def scored_events(spark: SparkSession, base: str) -> DataFrame:
 
 @dataclass
 class IncrementalSilver:
-    """Bronze -> Silver for files not seen before; partitions gain a ``load_id``.
+    """Bronze -> Silver for files not seen before; every output has a folder per ``load_id``.
 
     Ids of earlier loads are looked up only on the event dates of this load: a
-    message delivered again carries the same event time.
+    message delivered again carries the same event time. Each message of a load is
+    in Silver, a repeat, in quarantine or a dead letter; ``counts`` says how many.
     """
 
     base: str
@@ -241,32 +276,35 @@ class IncrementalSilver:
 
     IDS = "event_id string, event_date date, load_id bigint"
 
-    def start(self, messages: DataFrame) -> StreamingQuery:
+    def start(self, messages: DataFrame, trigger: dict | None = None) -> StreamingQuery:
         return (
             messages.writeStream.foreachBatch(self.process)
             .option("checkpointLocation", f"{self.base}/checkpoint")
-            .trigger(availableNow=True).start()
+            .trigger(**(trigger or {"availableNow": True})).start()
         )
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
-        spark = messages.sparkSession
-        good, bad = silver.split_valid(envelope.parse_envelope(messages))
-        clean = silver.to_silver(good, self.run_ts)
-        clean = clean.withColumn("event_date", F.to_date("event_time"))
-        span = clean.agg(F.min("event_date").alias("low"), F.max("event_date").alias("high")).first()
-        before = read_or_empty(spark, f"{self.base}/ids", self.IDS)
-        before = before.where(
-            (F.col("load_id") < batch_id) & F.col("event_date").between(F.lit(span.low), F.lit(span.high))
-        )
+        spark, part = messages.sparkSession, f"load_id={batch_id}"
+        # The text is parsed once; each output reads its own folder of the staged rows.
+        staging = f"{self.base}/staging/{part}"
+        staged = silver.classified_rows(messages)
+        staged.write.mode("overwrite").partitionBy("outcome").parquet(staging)
+        rows = spark.read.schema(staged.schema).parquet(staging)
+        good, bad, dead = [rows.where(F.col("outcome") == n).drop("outcome") for n in silver.OUTCOMES]
+        clean = silver.to_silver(good.drop("body"), self.run_ts).withColumn("event_date", F.to_date("event_time"))
+        before = read_or_empty(spark, f"{self.base}/ids", self.IDS).where(F.col("load_id") < batch_id)
+        days = days_of(good.select(F.to_date("event_time").alias("d")), "d")
+        if days is not None:
+            before = before.where(F.col("event_date").isin(days))
         fresh = clean.join(before.select("event_date", "event_id"), ["event_date", "event_id"], "left_anti")
-        fresh = fresh.withColumn("load_id", F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            replace_partitions(fresh.drop("event_date"), f"{self.base}/silver", ["year", "month", "day", "load_id"])
-            silver.quarantine_reasons(bad).write.mode("overwrite").json(
-                f"{self.base}/quarantine/load_id={batch_id}"
-            )
-            replace_partitions(
-                fresh.select("event_id", "event_date", "load_id"), f"{self.base}/ids", ["event_date", "load_id"]
-            )
-        finally:
-            fresh.unpersist()
+        write_batch(fresh.drop("event_date"), f"{self.base}/silver", batch_id, DATE_PARTS, "load_id")
+        silver.quarantine_reasons(bad.drop("body")).write.mode("overwrite").json(f"{self.base}/quarantine/{part}")
+        dead.select("body").write.mode("overwrite").text(f"{self.base}/dead_letters/{part}")
+        written = read_or_empty(spark, f"{self.base}/silver/{part}", "event_id string, event_time timestamp_ntz")
+        counts = rows.agg(F.count("*").alias("input"), *(F.count_if(F.col("outcome") == n).alias(n) for n in silver.OUTCOMES))
+        counts = counts.select("*", written.agg(F.count("*")).scalar().alias("output"))
+        counts.withColumn("repeated", F.col("valid") - F.col("output")).write.mode("overwrite").json(f"{self.base}/counts/{part}")
+        # last: only a load whose outputs are complete hides its events from later ones
+        ids = written.select("event_id", F.to_date("event_time").alias("event_date"))
+        write_batch(ids, f"{self.base}/ids", batch_id, ["event_date"], "load_id")
+        remove(spark, staging)
