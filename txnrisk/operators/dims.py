@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions.columns import (
-    DISPUTE_OUTCOMES, EPOCH, OPERATING_SYSTEMS, RISK_PROFILES, assign_stable, digest, stable_int,
+    DISPUTE_OUTCOMES, EPOCH, OPERATING_SYSTEMS, RISK_PROFILES, assign_stable, digest, micros, stable_int,
 )
 
 # Age of accounts, merchants and devices in days, dispute delay in days.
@@ -19,10 +19,15 @@ MERCHANT_DAYS = (60, 3649)
 DISPUTE_DAYS = (7, 90)
 
 
-def _first_seen(columns: dict[str, Column]) -> Column:
-    """The given columns as of a key's first event."""
-    values = F.struct(*[c.alias(n) for n, c in columns.items()])
-    return F.min_by(values, F.struct("event_time", "event_id")).alias("f")
+def _first_seen(tx: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
+    """Per key the given columns as of its first event, in ``f``; at one time the least of them.
+
+    The table is first reduced to its different attributes with their first time, which is a
+    hash aggregate; only those few rows are compared as a whole.
+    """
+    rows = tx.where(F.col(key).isNotNull()).select(key, *[c.alias(n) for n, c in columns.items()], micros(F.col("event_time")).alias("us"))
+    cells = rows.groupBy(key, *columns).agg(F.min("us").alias("us"))
+    return cells.where("us is not null").groupBy(key).agg(F.min_by(F.struct(*columns), F.struct("us", *columns)).alias("f"))
 
 
 def _created(key: str, days: tuple[int, int], salt: str) -> Column:
@@ -33,7 +38,7 @@ def customers_dim(tx: DataFrame) -> DataFrame:
     key = F.col("customer_id")
     slot = F.col("device_slot") if "device_slot" in tx.columns else stable_int(key, 0, 2, "slot")
     seen = {"segment": F.col("customer_segment"), "country": F.col("customer_country"), "slot": slot}
-    first = tx.where(key.isNotNull()).groupBy("customer_id").agg(_first_seen(seen))
+    first = _first_seen(tx, "customer_id", seen)
     return first.select(
         "customer_id",
         F.coalesce("f.segment", F.lit("Family")).alias("customer_segment"),
@@ -45,12 +50,11 @@ def customers_dim(tx: DataFrame) -> DataFrame:
 
 
 def merchants_dim(tx: DataFrame) -> DataFrame:
-    key = F.col("merchant_id")
     seen = {
         "category": F.col("merchant_category"), "country": F.col("merchant_country"),
         "risk": F.col("merchant_risk_score"),
     }
-    first = tx.where(key.isNotNull()).groupBy("merchant_id").agg(_first_seen(seen))
+    first = _first_seen(tx, "merchant_id", seen)
     return first.select(
         "merchant_id",
         F.coalesce("f.category", F.lit("Retail")).alias("merchant_category"),
@@ -63,7 +67,7 @@ def merchants_dim(tx: DataFrame) -> DataFrame:
 def devices_dim(tx: DataFrame) -> DataFrame:
     key = F.col("device_id")
     seen = {"kind": F.col("device_type"), "age": F.col("device_age_days")}
-    first = tx.where(key.isNotNull()).groupBy("device_id").agg(_first_seen(seen))
+    first = _first_seen(tx, "device_id", seen)
     system = F.lit(None).cast("string")
     for kind, names in OPERATING_SYSTEMS.items():
         system = F.when(F.col("f.kind") == kind, assign_stable(key, names, "os")).otherwise(system)

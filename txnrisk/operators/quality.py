@@ -180,11 +180,28 @@ def latency_profile(df: DataFrame, minutes: float = 5, accuracy: int | None = No
             F.count("*").alias("events"), *quantiles,
             F.round(F.count_if(late) * 100 / F.count("*"), 2).alias("late_pct"),
         )
-    counted = delays.groupBy("d").agg(F.count("*").alias("n"))
-    quantiles = [F.round(F.percentile("d", p, F.col("n")), 4).alias(n) for n, p in marks.items()]
-    late_share = F.sum(F.when(late, F.col("n")).otherwise(0)) * 100 / F.sum("n")
-    return counted.agg(
-        F.sum("n").alias("events"), *quantiles, F.round(late_share, 2).alias("late_pct")
+    # Counts per delay, summed up inside minutes and over one row per minute: no task holds all delays.
+    counted = delays.groupBy("d").agg(F.count("*").alias("n")).withColumn("minute", F.floor(F.col("d") / 60))
+    first = Window.unboundedPreceding
+    minutes_before = Window.orderBy("minute").rowsBetween(first, -1)
+    carried = counted.groupBy("minute").agg(F.sum("n").alias("m"), F.sum(F.when(late, F.col("n")).otherwise(0)).alias("late"))
+    total, late_total = (carried.agg(F.sum(c)).scalar() for c in ("m", "late"))
+    carried = carried.select("minute", F.coalesce(F.sum("m").over(minutes_before), F.lit(0)).alias("carried"))
+    inside = Window.partitionBy("minute").orderBy("d").rowsBetween(first, -1)
+    low = F.col("carried") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+    ranked = counted.join(carried, "minute").select("d", low.alias("low"), (low + F.col("n")).alias("high"), total.alias("total"))
+
+    def at(place: Column) -> Column:
+        return F.max(F.when((F.col("low") <= place) & (place < F.col("high")), F.col("d")))
+
+    quantiles = []
+    for name, p in marks.items():
+        place = F.lit(p) * (F.col("total") - 1)
+        below, above = at(F.floor(place)), at(F.ceil(place))
+        quantiles.append(F.round(below + (above - below) * F.max(place - F.floor(place)), 4).alias(name))
+    return ranked.agg(
+        F.coalesce(F.max("total"), F.lit(0)).alias("events"), *quantiles,
+        F.round(late_total * 100 / F.max("total"), 2).alias("late_pct"),
     )
 
 

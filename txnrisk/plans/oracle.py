@@ -316,7 +316,8 @@ def _nulls() -> str:
 
 
 def first_seen(key: str, columns: str) -> str:
-    return f"first AS (SELECT {key}, {columns} FROM tx QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_time, event_id) = 1)"
+    order = ", ".join(f"{c.strip()} NULLS FIRST" for c in columns.split(","))
+    return f"first AS (SELECT {key}, {columns} FROM tx QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY event_time, {order}) = 1)"
 
 
 def created(key: str, low: int, high: int, salt: str) -> str:
@@ -368,6 +369,20 @@ TWINS = {
         CASE WHEN strlen(text) > {Q.OVERSIZE_LIMIT} THEN 'rejected' ELSE 'ok' END AS outcome FROM documents"""),
     "promote_bronze": (LAKE, """SELECT strftime(arrival_time, '%Y-%m-%d') AS day, count(*) AS records,
         count(DISTINCT event_id) AS ids FROM readable GROUP BY 1"""),
+    "enhanced_from_raw": (BASE + """,
+log AS (SELECT *, TIMESTAMP '2023-01-01' + to_hours(step) AS t FROM tagged),
+past AS (SELECT *, lag(t) OVER w AS prev, row_number() OVER (PARTITION BY customer_id, t ORDER BY n) - count(*) OVER (PARTITION BY customer_id, t) - 1 AS after,
+    count(*) OVER (PARTITION BY customer_id ORDER BY t RANGE BETWEEN INTERVAL 5 MINUTE PRECEDING AND CURRENT ROW) AS w5,
+    count(*) OVER (PARTITION BY customer_id ORDER BY t RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS w60,
+    row_number() OVER w AS nth, sum(CAST(amount AS DECIMAL(18,2))) OVER (PARTITION BY customer_id ORDER BY t, n ROWS UNBOUNDED PRECEDING) AS spend
+  FROM log WINDOW w AS (PARTITION BY customer_id ORDER BY t, n))""",
+        f"""SELECT customer_id, merchant_id, step, t AS event_time, amount, schema_version, traffic_period, CAST(w5 + after AS INTEGER) AS velocity_5min,
+        CAST(w60 + after AS INTEGER) AS velocity_1hour, nth AS lifetime_tx_count, spend::DOUBLE AS lifetime_spend,
+        {rnd("(epoch_us(t) - epoch_us(prev))::DOUBLE / 86400000000.0::DOUBLE", 2)} AS days_since_last_tx,
+        CASE WHEN merchant_country <> customer_country AND t - prev < INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS geo_anomaly_flag FROM past"""),
+    "model_report": (LAKE, f"""SELECT CASE WHEN held THEN 'validation' ELSE 'training' END AS part, is_fraud, count(*) AS records, count(*) AS scored FROM (
+        SELECT is_fraud, substr({HASH}, 1, 8) < '33333333' OR (is_fraud = 1 AND {HASH} = (SELECT min({HASH}) FROM silver WHERE is_fraud = 1)) AS held
+        FROM silver) GROUP BY 1, 2"""),
     "conservation": (LAKE, """SELECT path, (SELECT count(*) FROM received) AS input, (SELECT count(*) FROM silver) AS silver,
         (SELECT count(*) FROM readable) - (SELECT count(*) FROM valid) AS quarantine, (SELECT count(*) FROM received WHERE unreadable) AS dead_letters,
         (SELECT count(*) FROM valid) - (SELECT count(*) FROM silver) AS duplicates FROM (VALUES ('batch'), ('incremental')) p(path)"""),
@@ -451,7 +466,7 @@ TWINS = {
     "chargebacks_documented": (BASE, dispute("chargeback_status = 'Filed'")),
     "replay": (BASE, """SELECT CASE WHEN r = 0 THEN event_id ELSE 'EVT-' || upper(substr(md5(event_id || '|' || r), 1, 16)) END AS event_id,
         CAST(r AS INTEGER) AS replay_round, customer_id, amount FROM tx, range(10) t(r)"""),
-    "enriched_with_dims": (LAKE + ", " + first_seen("customer_id", "customer_country") + ", shop AS (SELECT merchant_id, merchant_category FROM tx QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY event_time, event_id) = 1)",
+    "enriched_with_dims": (LAKE + ", " + first_seen("customer_id", "customer_country") + ", shop AS (SELECT merchant_id, merchant_category FROM tx QUALIFY row_number() OVER (PARTITION BY merchant_id ORDER BY event_time, merchant_category NULLS FIRST, merchant_country NULLS FIRST, merchant_risk_score NULLS FIRST) = 1)",
         f"""SELECT s.event_id, f.customer_country AS home_country, {pick('s.customer_id', RISK_PROFILES, 'risk')} AS risk_profile,
         m.merchant_category AS dim_merchant_category FROM silver s LEFT JOIN first f ON f.customer_id = s.customer_id
         LEFT JOIN shop m ON m.merchant_id = s.merchant_id"""),

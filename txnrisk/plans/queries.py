@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.functions import columns as C
 from txnrisk.operators import dims, envelope, history, ledger, ml, quality, rules, silver
-from txnrisk.plans import lake
+from txnrisk.plans import features, lake, training
 from txnrisk.schema import LABEL, NULLABLE_COLUMNS, SILVER_FIELDS
 from txnrisk.sources import files, sample_tables
 from txnrisk.storage import new_path
@@ -499,6 +499,29 @@ def conservation(spark, sf_dir):
     return found
 
 
+def enhanced_from_raw(spark, sf_dir):
+    """The raw log as files, then the feature job over it, with countries from the dimensions."""
+    rows, out = base(spark, sf_dir), new_path(spark, "raw")
+    log = rows.select(
+        "n", "step", F.col("transaction_type").alias("type"), "amount", F.col("customer_id").alias("nameOrig"),
+        F.col("balance_before").alias("oldbalanceOrg"), F.col("balance_after").alias("newbalanceOrig"),
+        F.col("merchant_id").alias("nameDest"), F.col("dest_balance_before").alias("oldbalanceDest"),
+        F.col("dest_balance_after").alias("newbalanceDest"), F.col("is_fraud").alias("isFraud"),
+        F.col("is_flagged_fraud").alias("isFlaggedFraud"),
+    )
+    log.repartitionByRange("n").sortWithinPartitions("n").drop("n").write.csv(f"{out}/log", header=True)
+    countries = [rows.select(k, c).distinct() for k, c in (("customer_id", "customer_country"), ("merchant_id", "merchant_country"))]
+    found = features.run(spark, f"{out}/log", out, *countries)
+    return found.select(
+        "customer_id", "merchant_id", "step", "event_time", "amount", "schema_version", "traffic_period", "velocity_5min", "velocity_1hour",
+        "lifetime_tx_count", "lifetime_spend", "days_since_last_tx", "geo_anomaly_flag",
+    )
+
+
+def model_report(spark, sf_dir):
+    return training.part_counts(training.run(spark, silver_table(spark, sf_dir), new_path(spark, "model")).scored)
+
+
 GOLD = {
     "gold_fraud_by_merchant": "fraud_by_merchant", "gold_fraud_by_segment": "fraud_by_segment",
     "gold_fraud_by_hour": "fraud_by_hour", "gold_high_risk_customers": "high_risk_customers",
@@ -515,7 +538,7 @@ OTHERS = [
     merchants_dim, devices_dim, chargebacks, chargebacks_documented, replay, enriched_with_dims,
     idempotent_skip, event_upsert, ttl_expiry, ordered_events, stream_sample, feature_frame, split,
     class_weights, evaluate, gbt_scores, sliding_counts, stream_scored, stream_dedup, stream_sliding,
-    conservation,
+    conservation, enhanced_from_raw, model_report,
 ]
 
 

@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 
 #: A dimension is broadcast only when its planned size is at most this.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Number of slices a hot key is cut into by :func:`join_dimension`.
+#: A key is cut into this many slices at least by :func:`join_dimension`, and into more for a
+#: larger fact table, so that even one that holds all rows leaves about so many bytes per slice.
 SALTS = 16
+SLICE_BYTES = 1 << 30
+#: A dimension row is copied into each slice; adaptive execution splits what is still too large.
+MOST_SALTS = 4096
 
 
 def work_dir(spark: SparkSession) -> str:
@@ -51,11 +55,13 @@ def join_dimension(fact: DataFrame, dim: DataFrame, key: str, spread: Column) ->
     """Left join to a one-row-per-key dimension, safe for a hot ``key``.
 
     A dimension of checked size is broadcast. A larger one is joined on
-    (key, slice): ``spread`` puts each fact row into one of ``SALTS`` slices and
+    (key, slice): ``spread`` puts each fact row into one of the slices and
     the dimension has a copy of its row in each, so no key lands in one task.
     """
     if planned_bytes(dim) <= BROADCAST_BYTES:
         return fact.join(F.broadcast(dim), key, "left")
-    slices = dim.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    sliced = fact.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, -(-planned_bytes(fact) // SLICE_BYTES)) if not fact.isStreaming else SALTS
+    salts = min(salts, MOST_SALTS)
+    slices = dim.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    sliced = fact.withColumn("_slice", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     return sliced.join(slices, [key, "_slice"], "left").drop("_slice")
