@@ -455,3 +455,58 @@ def test_decontamination_by_brute_force(spark, monkeypatch, most):
     none = bench.limit(0)
     assert all(r.n_hit == 0 and not r.contaminated for r in decontaminate.report(docs(spark, ODD), none).collect())
     assert decontaminate.report(docs(spark, []), bench).count() == 0
+
+
+# ---------------------------------------------------------------- registered queries and the pipeline
+
+
+def test_queries_with_twins(spark):
+    import compare
+
+    from txnrisk.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    con, every = compare.connect(sf), queries.all_queries()
+    assert {n: compare.differences(every[n](spark, sf), con, sql) for n, sql in queries.all_twins().items()} == dict.fromkeys(queries.all_twins())
+
+
+def test_pipeline_stages_by_plain_versions(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    before = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, stages = before.columns, dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "simhash near-dedup", "benchmark decontamination", "pii", "sentencepiece"]
+    rows = {r.doc_id: r for r in before.collect()}
+    model = toxicity.learn(before, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = {i: r for i, r in rows.items() if model.score(r.text) < 0.5}
+    after = stages["toxicity"](spark, before, sf)
+    assert after.columns == columns and {r.doc_id: r for r in after.collect()} == rows
+    fps = {i: plain_fingerprint(r.text) for i, r in rows.items()}
+    pairs = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
+    part = plain_components(pairs, fps)
+    after = stages["simhash near-dedup"](spark, after, sf)
+    rows = {i: r for i, r in rows.items() if part[i] == i}
+    assert after.columns == columns and {r.doc_id: r for r in after.collect()} == rows
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    hit = {i: plain_hits(items, r.text) for i, r in rows.items()}
+    rows = {i: r for i, r in rows.items() if not (hit[i][1] and 20 * hit[i][1] >= hit[i][0])}
+    after = stages["benchmark decontamination"](spark, after, sf)
+    assert after.columns == columns and {r.doc_id: r for r in after.collect()} == rows
+    after = stages["pii"](spark, after, sf)
+    got = {r.doc_id: r for r in after.collect()}
+    assert after.columns == columns and set(got) == set(rows)
+    assert all(got[i].text == pii.masked(r.text) and got[i].n_chars == len(got[i].text) and not plain_spans(got[i].text) for i, r in rows.items())
+    coded = stages["sentencepiece"](spark, after, sf).collect()
+    assert {r.doc_id for r in coded} == set(rows) and all(r.exact for r in coded)
+    assert {r.doc_id for r in corpus_pipeline.run(spark, sf).collect()} == set(rows)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    import corpus_pipeline
+
+    sf, odd = "/root/testdata/sf0.001", docs(spark, ODD)
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, odd, sf)
+        assert found.count() > 0 and (name == "sentencepiece" or found.columns == odd.columns)
+        assert stage(spark, odd.limit(0), sf).count() == 0

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from txnrisk.storage import new_path
 
-_SHIPPED: set[str] = set()
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +27,13 @@ def ship(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     root = Path(__file__).resolve().parent.parent
-    archive = Path(tempfile.mkdtemp(prefix="txnrisk-code-")) / f"{root.name}.zip"
+    folder = tempfile.TemporaryDirectory(prefix="txnrisk-code-")  # the driver serves it while it runs
+    archive = Path(folder.name) / f"{root.name}.zip"
     with zipfile.ZipFile(archive, "w") as out:
         for source in sorted(root.rglob("*.py")):
             out.write(source, source.relative_to(root.parent))
     spark.sparkContext.addPyFile(str(archive))
-    _SHIPPED.add(app)
+    _SHIPPED[app] = folder
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from txnrisk.llm import chat, decontaminate, embeddings, licenses, pieces, pii, quality, simhash, tokenfile, toxicity
 from txnrisk.llm.common import table
+from txnrisk.llm.twins import TWINS
 from txnrisk.storage import new_path
 
 
@@ -72,4 +73,4 @@ def all_queries() -> dict:
 
 
 def all_twins() -> dict[str, str]:
-    return {}
+    return dict(TWINS)
