@@ -32,13 +32,13 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/txnrisk-{spark.sparkContext.applicationId}"
 
 
-_LOCAL: list[str] = []
+_LOCAL: list[tempfile.TemporaryDirectory] = []
 
 
 def _local_base() -> str:
     if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="txnrisk-"))
-    return _LOCAL[0]
+        _LOCAL.append(tempfile.TemporaryDirectory(prefix="txnrisk-"))  # goes when the process ends
+    return _LOCAL[0].name
 
 
 def new_path(spark: SparkSession, name: str) -> str:
