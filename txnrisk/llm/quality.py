@@ -14,7 +14,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -33,6 +32,8 @@ STEPS, BATCH, RATE = 800, 32, 0.5
 TRAINING_ROWS = 5_000
 THRESHOLD = 0.3
 SEED = 7
+#: Texts that a task scores at a time.
+TEXTS = 512
 #: Different words whose sums a task remembers.
 REMEMBER = 400_000
 #: Pairs count as much as so many n-grams of each word.
@@ -41,61 +42,98 @@ PAIR_WEIGHT = 8
 AGAIN, CHANGE = zlib.crc32(b"pair again") % BUCKETS, zlib.crc32(b"pair change") % BUCKETS
 
 
-@lru_cache(1 << 17)
-def word_features(word: str) -> tuple[int, ...]:
-    """Hashed word and character n-grams, with marks for both ends."""
-    data = f"<{word[:64]}>"
-    grams = {data[k : k + n] for n in GRAMS for k in range(len(data) - n + 1)}
-    return (zlib.crc32(b"word " + word.encode()) % BUCKETS, *sorted(zlib.crc32(g.encode()) % BUCKETS for g in grams))
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _bucket(values: np.ndarray) -> np.ndarray:
+    """Multiplicative hash to the table's buckets."""
+    with np.errstate(over="ignore"):
+        return ((values * _ODD) >> np.uint64(64 - BUCKETS.bit_length() + 1)).astype(np.int64)
+
+
+def word_features(words: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """Hashed features of many words at once: each word's own, then its n-grams with marks for both ends.
+
+    Returns the words' buckets; by n, the bucket of the n-gram at each byte (-1 where it would cross the
+    word's end); where each word's bytes begin; and how many features each word has.
+    """
+    sizes = np.array([len(w) + 2 for w in words])
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    codes = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint64)
+    place = np.arange(len(codes)) - np.repeat(starts, sizes)
+    left = np.repeat(sizes, sizes) - place
+    with np.errstate(over="ignore"):
+        powers = np.cumprod(np.full(int(sizes.max()), 1_000_003, np.uint64))
+        own = _bucket(np.add.reduceat(codes * powers[place], starts))
+        grams = []
+        for n in GRAMS:
+            value = np.full(len(codes), n, np.uint64)
+            for k in range(n):
+                value[: len(codes) - k] = value[: len(codes) - k] * np.uint64(257) + codes[k:]
+            grams.append(np.where(left >= n, _bucket(value), -1))
+    return own, grams, starts, 1 + sum(np.maximum(sizes - n + 1, 0) for n in GRAMS)
 
 
 def document_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Features of a text and the share each has. Empty texts have none."""
-    tokens = text.split()
-    counts: Counter[int] = Counter()
-    for word, n in Counter(tokens).items():
-        for f in word_features(word):
-            counts[f] += n
+    tokens = text.encode("utf-8", "replace").split()
+    if not tokens:
+        return np.zeros(0, np.int64), np.zeros(0)
+    counts = Counter(tokens)
+    own, grams, starts, _ = word_features(list(counts))
+    times = np.array(list(counts.values()))
+    each = np.repeat(times, np.diff(np.append(starts, len(grams[0]))))
     again = sum(a == b for a, b in zip(tokens, tokens[1:]))
-    if len(tokens) > 1:
-        counts[AGAIN] += again * PAIR_WEIGHT
-        counts[CHANGE] += (len(tokens) - 1 - again) * PAIR_WEIGHT
-    ids = np.fromiter(counts.keys(), np.int64, len(counts))
-    n = np.fromiter(counts.values(), np.float64, len(counts))
-    return ids, n / max(1.0, n.sum())
+    pairs = np.array([again, len(tokens) - 1 - again]) * PAIR_WEIGHT
+    ids = np.concatenate([own, *(g[g >= 0] for g in grams), [AGAIN, CHANGE]])
+    n = np.concatenate([times, *(each[g >= 0] for g in grams), pairs])
+    used, place = np.unique(ids, return_inverse=True)
+    total = np.bincount(place, weights=n)
+    return used, total / total.sum()
 
 
 @dataclass
 class Model:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(BUCKETS, np.float32))
     bias: float = 0.0
-    _known: dict[str, int] = field(default_factory=dict)
-    _sums: list[tuple[float, int]] = field(default_factory=list)
-
-    def score(self, text: str) -> float:
-        """Probability of label 1; an empty text has that of the bias alone."""
-        tokens = text.split()
+    _known: dict[bytes, int] = field(default_factory=dict)
+    _sums: np.ndarray = field(default_factory=lambda: np.zeros((0, 2)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        own, grams, starts, parts = word_features(words)
+        sums = self.weights[own].astype(np.float64)
+        for g in grams:
+            sums += np.add.reduceat(np.where(g >= 0, self.weights[g], 0).astype(np.float64), starts)
+        at = len(self._known)
+        if at + len(words) > len(self._sums):
+            self._sums = np.concatenate((self._sums[:at], np.zeros((at + 2 * len(words), 2))))
+        self._sums[at : at + len(words)] = np.column_stack((sums, parts))
+        self._known.update(zip(words, range(at, at + len(words))))
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Probabilities of label 1; an empty text has that of the bias alone."""
         if len(self._known) > REMEMBER:
             self._known.clear()
-            self._sums.clear()
+        tokens: list[bytes] = []
+        sizes = np.zeros(len(texts), dtype=np.int64)
+        for k, text in enumerate(texts):
+            own = text.encode("utf-8", "replace").split()
+            tokens += own
+            sizes[k] = len(own)
         at = np.fromiter(map(self._known.get, tokens, repeat(-1)), dtype=np.int64, count=len(tokens))
-        for i in np.flatnonzero(at < 0).tolist():
-            word = tokens[i]
-            if word not in self._known:
-                own = word_features(word)
-                self._known[word] = len(self._sums)
-                self._sums.append((sum(map(self.weights.item, own)), len(own)))
-            at[i] = self._known[word]
-        total = parts = 0.0
-        for k, n in zip(*(x.tolist() for x in np.unique(at, return_counts=True))):
-            total += n * self._sums[k][0]
-            parts += n * self._sums[k][1]
-        if len(at) > 1:
-            again = int((at[1:] == at[:-1]).sum())
-            total += PAIR_WEIGHT * (again * self.weights[AGAIN] + (len(at) - 1 - again) * self.weights[CHANGE])
-            parts += PAIR_WEIGHT * (len(at) - 1)
-        logit = self.bias + total / max(1.0, parts)
-        return 1 / (1 + math.exp(-min(max(logit, -30), 30)))
+        missing = np.flatnonzero(at < 0).tolist()
+        if missing:
+            self._learn(list(dict.fromkeys(tokens[i] for i in missing)))
+            at[missing] = [self._known[tokens[i]] for i in missing]
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        n = len(texts)
+        total, parts = (np.bincount(owner, weights=self._sums[at, k], minlength=n) for k in range(2))
+        inside = owner[1:] == owner[:-1]
+        again = np.bincount(owner[1:][inside & (at[1:] == at[:-1])], minlength=n)
+        change = np.bincount(owner[1:][inside & (at[1:] != at[:-1])], minlength=n)
+        total = total + PAIR_WEIGHT * (again * float(self.weights[AGAIN]) + change * float(self.weights[CHANGE]))
+        logit = self.bias + total / np.maximum(1.0, parts + PAIR_WEIGHT * (again + change))
+        return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
 
 def fit(rows: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
@@ -163,8 +201,10 @@ def report(docs: DataFrame, model: Model) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = pa.array([model.score(t) for t in batch.column(1).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), scores], ["doc_id", "score"])
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                scores = pa.array(model.scores(part.column(1).to_pylist()), pa.float64())
+                yield pa.RecordBatch.from_arrays([part.column(0), scores], ["doc_id", "score"])
 
     scored = map_arrow(texts(docs), work, "doc_id long, score double")
     predicted = F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).cast("int")
