@@ -70,6 +70,8 @@ def test_online_job_equals_batch_in_one_and_in_many(spark, tmp_path, bodies):
     stats = spark.read.json(str(tmp_path / "many/stats")).agg(
         *[F.sum(c).alias(c) for c in ("messages", "processed", "skipped", "errors", "flagged")]).first()
     assert tuple(stats) == (63, 60, 2, 1, sum(1 for v in want.values() if v[2]))
+    run = online.run_statistics(spark, str(tmp_path / "many")).first()
+    assert (run.batches, run.messages, run.flagged) == (3, 63, stats.flagged) and run.messages_per_second > 0
     base = tmp_path / "many"
     assert spark.read.text(str(base / "dead_letters")).select("value").collect()[0].value == "{broken"
     assert spark.read.option("recursiveFileLookup", "true").text(str(base / "bronze")).count() == 60

@@ -12,6 +12,7 @@ midnight, gives the same result in the same places.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -181,7 +182,7 @@ class OnlineJob:
 
     def process(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        now_text = self.clock(spark, batch_id)
+        began, now_text = time.monotonic(), self.clock(spark, batch_id)
         now = F.expr(f"timestamp_ntz'{now_text}'")
         # shared by several outputs; lost blocks are recomputed from the source
         missing = "skipped" if self.profile == "online" else "dead_letter"
@@ -195,7 +196,7 @@ class OnlineJob:
         fresh = ledger.filter_processed(rows, known, now).persist(StorageLevel.MEMORY_AND_DISK)
         scored = self._score(fresh, batch_id).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(status, scored, now, now_text, batch_id)
+            self._write(status, scored, now, now_text, batch_id, began)
         finally:
             for shared in (scored, fresh, status):
                 shared.unpersist()
@@ -215,7 +216,7 @@ class OnlineJob:
         stored = stored.join(fresh.select("customer_id").distinct(), "customer_id", "left_semi")
         return rules.apply_rules(live_velocity(fresh, stored))
 
-    def _write(self, status: DataFrame, scored: DataFrame, now: Column, now_text: str, batch_id: int) -> None:
+    def _write(self, status: DataFrame, scored: DataFrame, now: Column, now_text: str, batch_id: int, began: float) -> None:
         part = f"batch_id={batch_id}"
         dead = status.where("status = 'dead_letter'").select("body")
         dead.write.mode("overwrite").text(f"{self.path('dead_letters')}/{part}")
@@ -239,7 +240,7 @@ class OnlineJob:
         read = status.agg(F.count("*").alias("messages"))
         stats = stats.select("*", read.scalar().alias("messages")).withColumn(
             "skipped", F.col("messages") - F.col("processed") - F.col("errors")
-        )
+        ).withColumns({"started_at": F.lit(now_text), "seconds": F.lit(time.monotonic() - began)})
         stats.write.mode("overwrite").json(f"{self.path('stats')}/{part}")
         # last: only a batch whose outputs are complete is marked as processed
         self._write_batch(ledger.mark_processed(scored, now), "ledger", batch_id, ["processed_date"])
@@ -254,6 +255,15 @@ class OnlineJob:
         drop_partitions_before(spark, self.path("ledger"), "processed_date", ledger_from)
 
 
+def run_statistics(spark: SparkSession, base: str) -> DataFrame:
+    """One row for all batches of a job: how many, their counters, and messages per second of work."""
+    stats = spark.read.json(f"{base}/stats")
+    sums = [F.sum(c).alias(c) for c in ("messages", "processed", "skipped", "errors", "flagged")]
+    total = stats.agg(F.count("*").alias("batches"), *sums, F.round(F.sum("seconds"), 3).alias("seconds"))
+    flag_rate = F.round(F.col("flagged") * 100 / F.greatest("processed", F.lit(1)), 1)
+    return total.select("*", flag_rate.alias("flag_rate_pct"), F.round(F.col("messages") / F.col("seconds"), 1).alias("messages_per_second"))
+
+
 def scored_events(spark: SparkSession, base: str) -> DataFrame:
     """Enriched events, newest version of each id."""
     return ledger.latest_events(spark.read.parquet(f"{base}/events"))
