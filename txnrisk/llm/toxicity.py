@@ -31,7 +31,7 @@ PREFIXES = (4, 5, 6)
 #: Dirichlet prior: weight of the pooled share of a feature, and what every feature has besides.
 PRIOR_SHARE, PRIOR_EACH = 1000.0, 0.5
 ERRORS = 1.5
-LEAST_COUNT, LEAST_LOG_ODDS = 3, 1.0
+LEAST_COUNT, LEAST_LOG_ODDS = 3, 2.5
 #: Entries of the lexicon, the surest first: the size of the model, which each task holds.
 LEXICON = 50_000
 #: Training rows whose scores fit the curve: of one fold in five, the first by hash of doc_id. The lexicon takes
