@@ -9,8 +9,9 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from txnrisk.storage import new_path
 
@@ -67,6 +68,33 @@ def free_names(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def chosen_rows(docs: DataFrame, keys: DataFrame, kept: DataFrame, key: Callable[[str | None], int]) -> DataFrame:
+    """The rows of ``docs`` whose (doc_id, key of the text) is in ``kept``, one each (that of the least text), and those without a doc_id.
+
+    ``keys`` has (doc_id, key) of all rows with a doc_id. Keys are taken again only of texts whose doc_id has several.
+    """
+    own, number, nth = free_names(docs, "_own", "_key", "_nth")
+    several = keys.groupBy("doc_id").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+    several = saved(several.select(F.col("doc_id").alias(own)), "several")
+    plain = kept.select(F.col("doc_id").alias(own)).distinct().join(several, own, "left_anti")
+    rows = docs.join(plain, F.col("doc_id") == F.col(own), "left_semi")
+    once = rows.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))).where(F.col(nth) == 1).drop(nth)
+    place = docs.columns.index("text")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([key(t) for t in batch.column(place).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, number])
+
+    shared = docs.join(several, F.col("doc_id") == F.col(own), "left_semi")
+    shared = map_arrow(shared, keyed, StructType([*docs.schema.fields, StructField(number, LongType())]))
+    both = kept.select(F.col("doc_id").alias(own), F.col("key").alias(nth))
+    shared = shared.join(both, (F.col("doc_id") == F.col(own)) & (F.col(number) == F.col(nth)), "left_semi")
+    order = Window.partitionBy("doc_id", number).orderBy("text")
+    shared = shared.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth, number)
+    return once.unionByName(shared).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
 def unsigned_crc32(values) -> int:
     """CRC-32 of ids as little-endian unsigned 32-bit integers."""
     import zlib
