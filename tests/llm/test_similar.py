@@ -6,7 +6,7 @@ import re
 import pytest
 from test_llm_tables import docs, plain_components
 
-from txnrisk.llm import similar
+from txnrisk.llm import simhash, similar
 
 
 def plain_shingles(text):
@@ -62,3 +62,9 @@ def test_similar_keeps_a_row_of_each_class_of_a_doc_id(spark):
     rows = [(5, "a text that stands only here"), (5, "one more that has a copy"), (3, "one more that has a copy"), (9, None), (4, ""), (None, "x")]
     got = similar.keep_one(docs(spark, rows)).collect()
     assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, [(5, rows[0][1]), (3, rows[2][1]), (4, ""), (None, "x")]))
+
+
+def test_simhash_keeps_a_text_whose_doc_id_also_has_a_copy(spark):
+    rows = [(5, "unique text of this row"), (5, "a copy"), (3, "a copy"), (9, None), (4, ""), (None, "x")]
+    got = simhash.keep_one(docs(spark, rows)).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(map(str, [(5, rows[0][1]), (3, "a copy"), (4, ""), (None, "x")]))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import free_names, map_arrow, saved, texts
+from txnrisk.llm.common import chosen_rows, map_arrow, saved, texts
 from txnrisk.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -52,6 +52,11 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def _signed(text: str | None) -> int:
+    value = fingerprint(text or "")
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
@@ -135,15 +140,13 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of ``docs`` for each class, with all its columns: that of the least doc_id.
+    """One row of ``docs`` for each component, with all its columns: that of the least doc_id.
 
-    A doc_id in several rows stays once (the row of the least text) if it is the least of any class
-    that its texts are in. Rows without a doc_id stay.
+    A doc_id in several rows stays once for each component that it is the least of, with a text (the least)
+    of that component. Rows without a doc_id stay.
     """
-    found = near_duplicates(docs, max_bits)
-    own, nth = free_names(docs, "_kept", "_nth")
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias(own)).distinct()
-    rows = docs.join(kept, F.col("doc_id") == F.col(own), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    once = rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1).drop(nth)
-    return once.unionByName(docs.where(F.col("doc_id").isNull()))
+    fps = saved(fingerprints(docs), "fingerprints")
+    labelled = fps.where("doc_id is not null").join(saved(classes(fps, max_bits), "classes"), "fp")
+    kept = labelled.where("doc_id = component").groupBy("doc_id").agg(F.min("fp").alias("key"))
+    keys = fps.where("doc_id is not null").select("doc_id", F.col("fp").alias("key"))
+    return chosen_rows(docs, keys, saved(kept, "kept"), _signed)
