@@ -172,7 +172,7 @@ class Encoder:
     The byte-level pre-tokenizer starts a new piece at every space that follows and precedes something
     other than white space, and around every such line feed. Merges never cross pieces, so the ids of
     the chunks between these places, one after the other, are those of the text. A text with other
-    white space, or two in a row, is encoded whole.
+    white space, two in a row, or a special token of the tokenizer is encoded whole.
     """
 
     def __init__(self, path: str):
@@ -180,7 +180,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_feed = int(self._ids("\n")[0])
         self.place: dict[str, int] = {}
         self.reset()
@@ -220,7 +220,7 @@ class Encoder:
         counts = np.zeros(len(texts), dtype=np.int64)
         odd: dict[int, np.ndarray] = {}
         for k, text in enumerate(texts):
-            if "\n\n" in text or "\0" in text or "\1" in text:
+            if "\n\n" in text or "\0" in text or "\1" in text or any(s in text for s in self.special):
                 odd[k] = self._ids(text)
             elif text:
                 own = text.replace(" ", "\1 ").replace("\n", "\1\0\1").split("\1")
