@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from txnrisk.llm import chat, decontaminate, embeddings, licenses, pieces, pii, quality, simhash, tokenfile, toxicity
+from txnrisk.llm import chat, decontaminate, embeddings, licenses, negatives, pieces, pii, quality, ring, simhash, tokenfile, toxicity, whitening
 from txnrisk.llm.common import table
 from txnrisk.llm.twins import TWINS
 from txnrisk.storage import new_path
@@ -62,9 +63,24 @@ def op10_quality(spark, sf_dir) -> DataFrame:
     return quality.report(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_hard_negatives(spark, sf_dir) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_sharding(spark, sf_dir) -> DataFrame:
+    placed = ring.shard(table(spark, sf_dir, "documents"), shards=8)
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+def op13_whitening(spark, sf_dir) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = (
     op1_simhash_dedup, op2_sentencepiece, op3_token_output, op4_toxicity, op5_embedding_dedup, op6_pii, op7_chat_format,
-    op8_license_scan, op9_decontamination, op10_quality,
+    op8_license_scan, op9_decontamination, op10_quality, op11_hard_negatives, op12_sharding, op13_whitening,
 )
 
 

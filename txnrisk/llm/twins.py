@@ -59,4 +59,22 @@ degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN least_id ON node = vec_id LEFT JOIN degree ON a = vec_id"""
 
-TWINS = {"op5_embedding_dedup": EMBEDDINGS, "op7_chat_format": CHAT, "op9_decontamination": DECONTAMINATION}
+NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS ar, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+positive AS (
+  SELECT ar, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY ar ORDER BY score DESC, vec_id) AS k
+  FROM scored WHERE same QUALIFY k <= 5),
+negative AS (
+  SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY ar, k ORDER BY score DESC, vec_id) AS n, vec_id AS negative_id,
+    positive_score, score AS negative_score
+  FROM positive JOIN scored USING (ar) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, CAST(n AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negative WHERE n <= 5"""
+
+TWINS = {"op5_embedding_dedup": EMBEDDINGS, "op7_chat_format": CHAT, "op9_decontamination": DECONTAMINATION, "op11_hard_negatives": NEGATIVES}
