@@ -128,7 +128,6 @@ def test_chunked_encoding_equals_the_library():
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     encoder = tokenfile.Encoder(path)
     random.seed(3)
     batch = [t or "" for _, t in ODD] + ["", "\n", "a\n\nb", "\n a", "a \n", "x\x01y", "a\x85b \x1cc", "it's we'll\nx's 's", "　x\t y"]
@@ -143,7 +142,6 @@ def test_token_files_against_the_library(spark, tmp_path, segment_ids):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     path = str(tmp_path / "tokens")
     tokenfile.write_tokens(docs(spark, ODD), path, "byte_bpe_50k.json", segment_ids=segment_ids)
     got = sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in tokenfile.read_tokens(spark, path).collect())
@@ -472,6 +470,7 @@ def test_queries_with_twins(spark):
 
 def test_pipeline_stages_by_plain_versions(spark):
     import corpus_pipeline
+    from test_similar import plain_kept
 
     sf = "/root/testdata/sf0.001"
     before = spark.read.parquet(f"{sf}/documents.parquet")
@@ -482,11 +481,9 @@ def test_pipeline_stages_by_plain_versions(spark):
     rows = {i: r for i, r in rows.items() if model.score(r.text) < 0.5}
     after = stages["toxicity"](spark, before, sf)
     assert after.columns == columns and {r.doc_id: r for r in after.collect()} == rows
-    fps = {i: plain_fingerprint(r.text) for i, r in rows.items()}
-    pairs = [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2]
-    part = plain_components(pairs, fps)
+    kept = plain_kept({i: r.text for i, r in rows.items()})
     after = stages["simhash near-dedup"](spark, after, sf)
-    rows = {i: r for i, r in rows.items() if part[i] == i}
+    rows = {i: r for i, r in rows.items() if i in kept}
     assert after.columns == columns and {r.doc_id: r for r in after.collect()} == rows
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     hit = {i: plain_hits(items, r.text) for i, r in rows.items()}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import DenseMatrix
@@ -53,7 +54,8 @@ def block_matrix(rows: DataFrame, values: Column, n: int, d: int) -> BlockMatrix
     """A block matrix of rows (index, array of doubles), made in the JVM."""
     vectors = MLUtils.convertVectorColumnsFromML(rows.select("index", array_to_vector(values).alias("vector")), "vector")
     per_block = max(BLOCK_ROWS, -(-n // MOST_BLOCKS))
-    return IndexedRowMatrix(vectors, n, d).toBlockMatrix(per_block, min(d, BLOCK_COLUMNS))
+    matrix = IndexedRowMatrix(vectors, n, d).toBlockMatrix(per_block, min(d, BLOCK_COLUMNS))
+    return matrix.persist(StorageLevel.MEMORY_AND_DISK)  # used several times; a lost block is made again from the table
 
 
 def scatter(matrix: BlockMatrix) -> np.ndarray:
@@ -73,6 +75,10 @@ def project(matrix: BlockMatrix, weights: np.ndarray) -> DataFrame:
     return rows.select(F.col("index").alias("index"), vector_to_array("vector").alias("w"))
 
 
+def _free(matrix: BlockMatrix) -> None:
+    matrix._java_matrix_wrapper._java_model.blocks().unpersist(False)
+
+
 def whiten(vectors: DataFrame, most: int = COMPONENTS) -> DataFrame:
     """A row of ``SCHEMA`` for each vector of (vec_id, embedding) and component, by falling eigenvalue.
 
@@ -96,10 +102,14 @@ def whiten(vectors: DataFrame, most: int = COMPONENTS) -> DataFrame:
     values, directions = values[::-1], directions[:, ::-1]
     k = min(most, int((values > d * np.finfo(float).eps * max(values[0], 0)).sum()))
     if not k:
+        _free(matrix)
         return spark.createDataFrame([], SCHEMA)
     whitened = saved(project(matrix, directions[:, :k] / np.sqrt(values[:k])), "whitened")
+    _free(matrix)
     means = np.array(whitened.agg(*(F.avg(F.get("w", F.lit(i))) for i in range(k))).first(), dtype=float)
-    covariance = scatter(block_matrix(whitened, F.col("w"), n, k)) / n - np.outer(means, means)
+    matrix = block_matrix(whitened, F.col("w"), n, k)
+    covariance = scatter(matrix) / n - np.outer(means, means)
+    _free(matrix)
     error = float(np.abs(covariance - np.eye(k)).max())
     exact = F.transform(away, lambda a: a.cast("decimal(19,0)"))
     deviation = F.aggregate(exact, F.lit(0).cast("decimal(38,0)"), lambda s, a: (s + a * a).cast("decimal(38,0)")).try_cast("long")
