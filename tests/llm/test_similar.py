@@ -48,7 +48,9 @@ def test_recall_of_the_retrieval():
         for h in s[: len(s) // 5 + 1].tolist():  # alike sets share one of their least hashes
             first.setdefault(h, []).append(k)
     pairs = {(a, b) for own in first.values() for n, b in enumerate(own) for a in own[:n]}
-    pairs = [(a, b) for a, b in pairs if alike(set(sets[a].tolist()), set(sets[b].tolist()))]
+    size = [len(s) for s in sets]
+    pairs = [(a, b) for a, b in pairs if 4 * max(size[a], size[b]) <= 5 * min(size[a], size[b])]
+    pairs = [(a, b) for a, b in pairs if 9 * len(np.intersect1d(sets[a], sets[b], assume_unique=True)) >= 4 * (size[a] + size[b])]
     bits, count = similar.plan(len(sets))
     cut, found = similar.segments(bits, count), 0
     for a, b in pairs:

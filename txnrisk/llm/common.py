@@ -53,6 +53,11 @@ def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iter
     return df.mapInArrow(function, schema)
 
 
+def in_slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that less of them is in Python at a time."""
+    return (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows))
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key and text alone, whatever else the table has; a null text is empty."""
     return docs.select(F.col(key).cast("long").alias(key), F.coalesce(F.col(text), F.lit("")).alias(text))

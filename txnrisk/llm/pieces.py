@@ -30,8 +30,8 @@ SPACE = "▁"
 MARK = "\udc81"
 #: Different words whose ids a task remembers.
 REMEMBER = 500_000
-#: Texts that a task cuts into words at a time.
-TEXTS = 1024
+#: Texts that a task cuts into words at a time; their words and ids are what takes memory.
+TEXTS = 256
 #: Longer words are first cut where no piece crosses.
 LONG = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txnrisk.llm.common import map_arrow, sha256_hex, texts
+from txnrisk.llm.common import in_slices, map_arrow, sha256_hex, texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "url", "iban", "account", "secret", "address")
@@ -205,7 +205,7 @@ def redact(docs: DataFrame) -> DataFrame:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             new = [t if t is None else masked(t) for t in batch.column("text").to_pylist()]
             columns = {c: batch.column(k) for k, c in enumerate(batch.schema.names)}
             columns["text"] = pa.array(new, pa.string())

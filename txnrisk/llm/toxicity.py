@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import held_out, map_arrow, saved, texts
+from txnrisk.llm.common import in_slices, held_out, map_arrow, saved, texts
 from txnrisk.llm.decontaminate import words
 from txnrisk.storage import planned_bytes
 
@@ -250,7 +250,7 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_slices(batches):
             keep = pa.array([model.score(t) < THRESHOLD for t in batch.column("text").to_pylist()], pa.bool_())
             yield batch.filter(keep)
 
