@@ -75,12 +75,48 @@ def test_matches_loop(spark, span, tie):
             assert abs(r.days_since_last_tx - w["days"]) <= 0.0051
 
 
-def test_small_blocks_do_not_matter(spark):
-    df = spark.createDataFrame(make(200, 5, 20000), DDL)
-    opts = dict(key="customer_id", ts="event_time", seq="event_id", amount="amount", widths=(300, 3600))
-    a = H.with_history(df, **opts, block_seconds=60)
-    b = H.with_history(df, **opts, block_seconds=10**7)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+@pytest.mark.parametrize("limit", [10**6, 60, 7, 1])
+def test_stretches_do_not_matter(spark, monkeypatch, limit):
+    """However finely customers are cut by time, also where a third of all rows is one customer's six hours."""
+    rows = make(200, 5, 40 * 86400) + [
+        (f"F{i:04d}", "HOT", T0 + timedelta(seconds=86400 + i, microseconds=i * 37 % 1000), T0, 1.5, "US", "CA") for i in range(150)
+    ]
+    widths = [300, 3600, 30 * 86400]
+    want = loop(rows, widths)
+    monkeypatch.setattr(H, "LIMIT", limit)
+    df = spark.createDataFrame(rows, DDL)
+    got = H.with_history(df, key="customer_id", ts="event_time", seq="event_id", amount="amount", latest="arrival_time", widths=tuple(widths)).collect()
+    assert len(got) == len(rows)
+    newest, gaps = {}, {}
+    for r in sorted(rows, key=lambda r: (r[2], r[0])):
+        newest[r[0]], gaps[r[0]] = gaps.get(r[1]), None
+        gaps[r[1]] = max(gaps.get(r[1]) or r[3], r[3])
+    for r in got:
+        w = want[r.event_id]
+        assert [r[f"h_w{s}"] for s in widths] == [w[f"p{s}"] for s in widths]
+        assert [r[f"h_t{s}"] for s in widths] == [w[f"l{s}"] for s in widths]
+        assert r.h_n + 1 == w["n"] and round(float(r.h_sum) + r.amount, 2) == w["spend"]
+        top = newest[r.event_id]
+        assert r.h_max_us == (None if top is None else round((top - datetime(1970, 1, 1)) / timedelta(microseconds=1)))
+
+
+def test_no_stretch_exceeds_its_limit(spark, monkeypatch):
+    monkeypatch.setattr(H, "LIMIT", 40)
+    rows = [("HOT", i * 1_000_000) for i in range(900)] + [("HOT", 5_000_000_000_000 + i) for i in range(300)] + [("A", i) for i in range(30)]
+    points = spark.createDataFrame(rows, "h_key string, h_us bigint")
+    full = H.full_stretches(points)
+    assert len(full) > 3
+    sizes = H.with_stretch(points, full, "h_key", "h_us").groupBy("h_key", "stretch").count().collect()
+    assert max(r["count"] for r in sizes) <= 40 and sum(r["count"] for r in sizes) == len(rows)
+    assert [r for r in sizes if r.h_key == "A"] == [("A", H.WHOLE, 30)]
+    monkeypatch.setattr(H, "LIMIT", 10**6)
+    assert H.full_stretches(points) == []
+
+
+def test_range_bounds_need_no_shuffle(spark):
+    df = spark.createDataFrame([(f"E{i}",) for i in range(300)] + [("E7",)] * 500, "seq string")
+    found = df.withColumn("slot", H._ranges(df, "seq")).groupBy("slot").agg(H.F.count_distinct("seq").alias("n")).collect()
+    assert 20 < len(found) <= H.RANGES and sum(r.n for r in found) == 300
 
 
 def test_out_of_order_matches_loop(spark):

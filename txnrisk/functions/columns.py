@@ -59,6 +59,11 @@ def plus_seconds(ts: Column, seconds: Column | int) -> Column:
     return ts + _seconds(seconds)
 
 
+def ntz_literal(time) -> Column:
+    """A zone-less datetime as a column, whatever zones Python and the session are in."""
+    return F.lit(None if time is None else time.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def strict_time(text: Column) -> Column:
     """``yyyy-MM-ddTHH:mm:ss`` and nothing else; anything different is NULL."""
     return F.when(text.rlike(STRICT_TIME), text.try_cast("timestamp_ntz"))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions.columns import (
-    DISPUTE_OUTCOMES, EPOCH, OPERATING_SYSTEMS, RISK_PROFILES, assign_stable, digest, micros, stable_int,
+    DISPUTE_OUTCOMES, EPOCH, OPERATING_SYSTEMS, RISK_PROFILES, assign_stable, cents, digest, finite, micros, plus_seconds, stable_int,
 )
 
 # Age of accounts, merchants and devices in days, dispute delay in days.
@@ -90,6 +90,37 @@ def chargebacks(tx: DataFrame, mode: str = "code") -> DataFrame:
     )
 
 
+def filed_chargebacks(rows: DataFrame) -> DataFrame:
+    """Chargebacks that were filed, from the status and the delay that came with the events.
+
+    A delay that is negative, no number or missing is NULL, and so is the day of filing then.
+    A chargeback on an event that was no fraud is a friendly one.
+    """
+    days = finite(F.col("chargeback_delay_days").try_cast("double"))
+    days = F.when(days >= 0, days)
+    filed = plus_seconds(F.col("event_time"), F.floor(days * 86400))
+    return rows.where("chargeback_status = 'Filed'").select(
+        F.col("event_id").alias("transaction_id"), "customer_id", "customer_segment", "amount", days.alias("days_to_dispute"),
+        F.to_date(filed).alias("filed_on"), F.when(F.col("is_fraud") == 0, 1).otherwise(0).alias("is_friendly"),
+    )
+
+
+# Upper ends of the delay classes of a report, in days.
+DELAY_CLASSES = {"week": 7, "month": 30, "quarter": 90}
+
+
+def chargeback_report(filed: DataFrame) -> DataFrame:
+    """Per customer segment and delay class: chargebacks, friendly ones among them, and their amount."""
+    place = F.lit("later")
+    for name, most in reversed(DELAY_CLASSES.items()):
+        place = F.when(F.col("days_to_dispute") <= most, name).otherwise(place)
+    place = F.when(F.col("days_to_dispute").isNull(), "unknown").otherwise(place)
+    return filed.groupBy("customer_segment", place.alias("delay_class")).agg(
+        F.count("*").alias("chargebacks"), F.sum("is_friendly").alias("friendly"),
+        F.round(F.sum(cents(F.col("amount"))), 2).cast("double").alias("amount"),
+    )
+
+
 # Replay modes.
 REPLAY_MODES = {"1x": 1, "10x": 10, "100x": 100}
 

@@ -7,14 +7,16 @@ task. A hot customer may own a large share of the table, so the order
 * *cells*: rows of one customer at one instant in one range of ``seq``. Rows are
   ranked inside a cell only; the bounds of the ranges are a sample of ``seq``, so
   even one instant holding a third of the table falls into many cells.
-* *blocks*: cells of one customer in one stretch of time. Cells, not rows, are
-  prefix-summed inside a block, and one total per (customer, block) is carried
-  to later blocks.
-
-Range counts are differences of two prefix sums (at t and at t - width), so the
-cost is linear in the number of cells and does not depend on how many events a
-window holds. Widths may reach over a block's start, so a cell is copied to the
-later blocks within reach.
+* *stretches* of time: a customer with few rows is one stretch. One with more is
+  cut by time, and each part that still has too many is cut again, down to the
+  microsecond. Cells are prefix-summed inside a stretch, and one total per
+  stretch is carried to the later ones of the customer.
+
+Range counts are differences of two prefix sums, at t and at t - width. A cell
+sends a probe to t - width; probes are sorted in among the cells, take the sum
+they find there, wherever it is, and go back to their cell. So every frame is
+one-sided, no cell is copied, and the cost is linear in the number of cells
+however many events or stretches a window spans.
 """
 
 from __future__ import annotations
@@ -23,29 +25,72 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions.columns import MICROS, cents, from_micros, micros
+from txnrisk.storage import BROADCAST_BYTES, planned_bytes, stored
 
-BLOCK_SECONDS = 6 * 3600
 _FIRST = Window.unboundedPreceding
-
-
-#: Ranges of ``seq`` that an instant is cut into.
-RANGES = 64
+#: Ranges of ``seq`` that an instant is cut into; rows whose values are looked at for their bounds.
+RANGES, SAMPLED = 64, 1024
+#: A stretch with more rows is cut at the next level.
+LIMIT = 1 << 17
+#: Lengths of stretches by level, as powers of two in microseconds: six days, 36 minutes, 8 s, 33 ms, 128, 1.
+SHIFTS = (39, 31, 23, 15, 7, 0)
+#: Start of the one stretch of a customer that isn't cut.
+WHOLE = -(1 << 62)
 
 
 def _ranges(df: DataFrame, seq: str) -> Column:
     """Number of the range of ``seq`` that a row is in: how many sampled values lie below it.
 
-    The sample is the values of least hash, so it is spread like the values and
-    the same on every run. It cuts the order; it doesn't decide it.
+    The sample is values of least hash, so it is spread like the values and the
+    same on every run. It cuts the order; it doesn't decide it. The first rows
+    by hash need no shuffle; repeated values among them make it smaller.
     """
     sample = df.select(F.col(seq).alias("v")).where("v is not null")
-    rows = sample.groupBy("v").agg(F.xxhash64("v").alias("h")).orderBy("h", "v").limit(RANGES - 1).collect()
-    if not rows:
+    rows = sample.select("v", F.xxhash64("v").alias("h")).orderBy("h", "v").limit(SAMPLED).collect()
+    values = list(dict.fromkeys(r.v for r in rows))[: RANGES - 1]
+    if not values:
         return F.lit(0)
-    bounds = F.array(*(F.lit(r.v) for r in sorted(rows)))
+    bounds = F.array(*(F.lit(v) for v in sorted(values)))
     return F.coalesce(F.size(F.filter(bounds, lambda b: b < F.col(seq))), F.lit(0))
 
 
+def _small(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if planned_bytes(df) <= BROADCAST_BYTES else df
+
+
+def _node(level: int, us: str) -> Column:
+    return F.shiftright(us, SHIFTS[level - 1]) if level else F.lit(0).cast("bigint")
+
+
+def full_stretches(rows: DataFrame, key: str = "h_key", us: str = "h_us") -> list[DataFrame]:
+    """(f_key, f_node) of the stretches with over ``LIMIT`` rows, a table per level; mostly there is none.
+
+    The first level is customers. Each table is counted among the rows of the
+    one before, and written, so that all uses see the same stretches.
+    """
+    found, left = [], rows.select(F.col(key).alias("f_key"), F.col(us).alias("us")).where("us is not null")
+    for level in range(len(SHIFTS) + 1):
+        counted = left.groupBy("f_key", _node(level, "us").alias("f_node")).count()
+        full = stored(counted.where(F.col("count") > LIMIT).select("f_key", "f_node"), "stretches")
+        if not full.head(1):
+            break
+        found.append(full)
+        left = left.withColumn("f_node", _node(level, "us")).join(_small(full), ["f_key", "f_node"], "left_semi").drop("f_node")
+    return found
+
+
+def with_stretch(points: DataFrame, full: list[DataFrame], key: str, us: str) -> DataFrame:
+    """Points with ``stretch``, the start of the stretch that ``us`` is in; starts order a customer's stretches."""
+    start, columns = F.lit(WHOLE).cast("bigint"), points.columns
+    for level, table in enumerate(full):
+        shift = SHIFTS[min(level, len(SHIFTS) - 1)]
+        hit = table.select(F.col("f_key").alias(f"k{level}"), F.col("f_node").alias(f"n{level}"))
+        same = (F.col(key) == F.col(f"k{level}")) & (_node(level, us) == F.col(f"n{level}"))
+        points = points.join(_small(hit), same, "left")
+        start = F.when(F.col(f"n{level}").isNotNull(), F.shiftleft(F.shiftright(us, shift), shift)).otherwise(start)
+    return points.select(*columns, start.alias("stretch"))
+
+
 def with_history(
     df: DataFrame,
     *,
@@ -56,7 +101,6 @@ def with_history(
     latest: str | None = None,
     widths: tuple[int, ...] = (),
     totals: bool = True,
-    block_seconds: int = BLOCK_SECONDS,
 ) -> DataFrame:
     """Add what each row's key did before it, in the order (ts, seq).
 
@@ -65,7 +109,7 @@ def with_history(
     before (given) · per width w in seconds: ``h_w{w}`` events before in
     [t - w, t], ``h_t{w}`` distinct times in [t - w, t], t included.
     Rows without a time get NULLs and count for nobody. ``totals=False`` gives the
-    range counts only, which need nothing from earlier blocks.
+    range counts only.
     """
     # NULL keys form one group of their own, under a text no id has
     group = F.coalesce(F.col(key).cast("string"), F.lit("\u2205"))
@@ -77,25 +121,20 @@ def with_history(
         (F.coalesce(cents(F.col(amount)), cents(F.lit(0))) if amount else F.lit(0)).alias("h_amt"),
         (micros(F.col(latest)) if latest else F.lit(None).cast("bigint")).alias("h_lat"),
     )
-    size = block_seconds * MICROS
     cells = (
         rows.where(F.col(ts).isNotNull())
         .groupBy(
             F.col("h_key").alias("c_key"), F.col("h_us").alias("c_us"), F.col("h_slot").alias("c_slot")
         )
         .agg(F.count("*").alias("c_n"), F.sum("h_amt").alias("c_amt"), F.max("h_lat").alias("c_lat"))
-        .select("*", _block_of(F.col("c_us"), F.lit(size)).alias("c_block"))
     )
-    state = _cell_prefixes(cells, widths, size)
+    found = _prefixes(cells, widths, full_stretches(rows))
     columns = {"h_key": F.col("c_key"), "h_us": F.col("c_us"), "h_slot": F.col("c_slot")}
-    columns |= {f"{kind}{w}": F.col(f"{kind}{w}") for w in widths for kind in ("s_w", "s_t")}
+    columns |= {f"s_w{w}": F.col("s_n") - F.col(f"low_n{w}") for w in widths}
+    columns |= {f"s_t{w}": F.col("s_times") - F.col(f"low_t{w}") for w in widths}
     if totals:
-        state = state.join(_block_carry(cells), ["c_key", "c_block"], "left")
-        columns["s_n"] = F.coalesce("b_n", F.lit(0)) + F.col("p_n")
-        columns["s_amt"] = F.coalesce("b_amt", F.lit(0)) + F.col("p_amt")
-        columns["s_us"] = F.greatest("b_us", "p_us")
-        columns["s_lat"] = F.greatest("b_lat", "p_lat")
-    state = state.select(*[value.alias(name) for name, value in columns.items()])
+        columns |= {name: F.col(name) for name in ("s_n", "s_amt", "s_us", "s_lat")}
+    state = found.select(*[value.alias(name) for name, value in columns.items()])
     # rows and cells meet on the cell, the grouping the row-level rank needs anyway
     in_cell = Window.partitionBy("h_key", "h_us", "h_slot").orderBy(seq)
     before = in_cell.rowsBetween(_FIRST, -1)
@@ -118,68 +157,53 @@ def with_history(
     return ranked.select(*df.columns, *out)
 
 
-def _block_of(us: Column, size: Column) -> Column:
-    return ((us - F.pmod(us, size)) / size).cast("bigint")
-
+def _prefixes(cells: DataFrame, widths: tuple[int, ...], full: list[DataFrame]) -> DataFrame:
+    """Per cell: sums over the earlier cells of its key, and those at the low end of each width.
 
-def _cell_prefixes(cells: DataFrame, widths: tuple[int, ...], size: int) -> DataFrame:
-    """Per cell: sums over earlier cells of its block, and its range counts.
-
-    Every frame starts at the block's first cell, so Spark only ever adds rows
-    to it. A frame bounded on both sides would be summed anew for each row.
+    A probe of width w stands before all cells at t - w. Every frame starts at the
+    stretch's first row, so Spark only ever adds rows to it.
     """
-    # the cell, and a copy in each later block it can be counted from
-    reach = F.lit(max(widths, default=0) * MICROS)
-    blocks = F.sequence("c_block", _block_of(F.col("c_us") + reach, F.lit(size)))
-    home = F.col("e_block") == F.col("c_block")
-    events = cells.select("*", F.explode(blocks).alias("e_block")).select(
-        "c_key", "e_block", "c_us", "c_slot", "c_n", home.alias("e_home"),
-        F.when(home, F.col("c_n")).otherwise(0).alias("n_own"),
-        F.when(home, F.col("c_amt")).otherwise(0).alias("amt_own"),
-        F.when(home, F.col("c_lat")).alias("lat_own"),
-    )
-    block = Window.partitionBy("c_key", "e_block")
-    before = block.orderBy("c_us", "c_slot").rowsBetween(_FIRST, -1)
-
-    def upto(value: str, us: int) -> Column:
-        """Sum over all cells up to ``us`` microseconds from this one's time."""
-        return F.coalesce(F.sum(value).over(block.orderBy("c_us").rangeBetween(_FIRST, us)), F.lit(0))
-
-    counted = events.select(
-        "*",
-        F.coalesce(F.sum("c_n").over(before), F.lit(0)).alias("r_all"),
-        F.coalesce(F.sum("n_own").over(before), F.lit(0)).alias("p_n"),
-        F.coalesce(F.sum("amt_own").over(before), F.lit(0)).alias("p_amt"),
-        F.max("c_us").over(before).alias("p_us"),
-        F.max("lat_own").over(before).alias("p_lat"),
-        *[upto("c_n", -w * MICROS - 1).alias(f"r_w{w}") for w in widths],
+    point = lambda w: F.struct(F.lit(w).alias("w"), (F.col("c_us") - w * MICROS).alias("us"))
+    points = cells.select("*", F.explode(F.array(*(point(w) for w in (0, *sorted(set(widths) - {0}))))).alias("p")) if widths else cells.select("*", point(0).alias("p"))
+    own = F.col("w") == 0
+    points = points.select("c_key", "c_us", "c_slot", F.col("p.w").alias("w"), F.col("p.us").alias("us"), "c_n", "c_amt", "c_lat")
+    points = with_stretch(points, full, "c_key", "us").select(
+        "c_key", "c_us", "c_slot", "w", "us", "stretch", own.alias("own"),
+        F.when(own, F.col("c_n")).otherwise(0).alias("n"), F.when(own, F.col("c_amt")).otherwise(0).alias("amt"),
+        F.when(own, F.col("us")).alias("cell_us"), F.when(own, F.col("c_lat")).alias("lat"),
     )
-    new_time = F.when(F.col("p_us").eqNullSafe(F.col("c_us")), 0).otherwise(1)
-    times = counted.withColumn("e_new", new_time).select(
-        "*",
-        upto("e_new", 0).alias("r_times"),
-        *[upto("e_new", -w * MICROS - 1).alias(f"r_t{w}") for w in widths],
-    )
-    ranges = [(F.col("r_all") - F.col(f"r_w{w}")).alias(f"s_w{w}") for w in widths]
-    ranges += [(F.col("r_times") - F.col(f"r_t{w}")).alias(f"s_t{w}") for w in widths]
-    return times.where("e_home").select(
-        "c_key", F.col("e_block").alias("c_block"), "c_us", "c_slot",
-        "p_n", "p_amt", "p_us", "p_lat", *ranges,
-    )
-
-
-def _block_carry(cells: DataFrame) -> DataFrame:
-    """Totals of all earlier blocks: one narrow row per (key, block)."""
-    totals = cells.groupBy("c_key", "c_block").agg(
-        F.sum("c_n").alias("n"), F.sum("c_amt").alias("amt"),
-        F.max("c_us").alias("us"), F.max("c_lat").alias("lat"),
+    ordered = Window.partitionBy("c_key", "stretch").orderBy("us", "own", "c_slot")
+    before = ordered.rowsBetween(_FIRST, -1)
+    counted = points.select(
+        "*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("p_n"), F.coalesce(F.sum("amt").over(before), F.lit(0)).alias("p_amt"),
+        F.max("cell_us").over(before).alias("p_us"), F.max("lat").over(before).alias("p_lat"),
     )
-    earlier = Window.partitionBy("c_key").orderBy("c_block").rowsBetween(_FIRST, -1)
-    return totals.select(
-        "c_key", "c_block",
-        F.sum("n").over(earlier).alias("b_n"), F.sum("amt").over(earlier).alias("b_amt"),
-        F.max("us").over(earlier).alias("b_us"), F.max("lat").over(earlier).alias("b_lat"),
+    first = F.when(F.col("own") & ~F.col("p_us").eqNullSafe(F.col("us")), 1).otherwise(0)
+    counted = counted.withColumn("new", first).withColumn("p_times", F.sum("new").over(ordered.rowsBetween(_FIRST, Window.currentRow)))
+    values = {"s_n": F.col("p_n"), "s_amt": F.col("p_amt"), "s_us": F.col("p_us"), "s_lat": F.col("p_lat"), "s_times": F.col("p_times")}
+    if full:
+        counted = counted.join(_carry(counted.where(F.col("stretch") > WHOLE)), ["c_key", "stretch"], "left")
+        values |= {f"s_{c}": F.coalesce(f"b_{c}", F.lit(0)) + F.col(f"p_{c}") for c in ("n", "amt", "times")}
+        values |= {f"s_{c}": F.greatest(f"b_{c}", f"p_{c}") for c in ("us", "lat")}
+    found = counted.select("c_key", "c_us", "c_slot", "w", *(v.alias(name) for name, v in values.items()))
+    if not widths:
+        return found
+    # A cell and its probes come together again, where its rows are expected.
+    at = lambda w, c: F.max(F.when(F.col("w") == w, F.col(c)))
+    sums = [at(0, c).alias(c) for c in values]
+    sums += [at(w, c).alias(f"low_{name}{w}") for w in widths for name, c in (("n", "s_n"), ("t", "s_times"))]
+    return found.groupBy("c_key", "c_us", "c_slot").agg(*sums)
+
+
+def _carry(counted: DataFrame) -> DataFrame:
+    """Totals of all earlier stretches: one narrow row per stretch of the keys that were cut."""
+    totals = counted.groupBy("c_key", "stretch").agg(
+        F.sum("n").alias("n"), F.sum("amt").alias("amt"), F.sum("new").alias("times"),
+        F.max("cell_us").alias("us"), F.max("lat").alias("lat"),
     )
+    earlier = Window.partitionBy("c_key").orderBy("stretch").rowsBetween(_FIRST, -1)
+    sums = [F.sum(c).over(earlier).alias(f"b_{c}") for c in ("n", "amt", "times")]
+    return totals.select("c_key", "stretch", *sums, *(F.max(c).over(earlier).alias(f"b_{c}") for c in ("us", "lat")))
 
 
 def velocity_prior(

@@ -356,7 +356,58 @@ def _evaluate() -> str:
 SILVER_SELECT = f"SELECT {', '.join(Q.SILVER_CHECKED)}, {rnd('balance_after - balance_before', 2)} AS balance_delta FROM silver"
 
 #: query -> (CTE prelude, SELECT)
+#: Landing parts, watermarks and loads stand here once more.
+LANDED = """, landed AS (
+  SELECT *, CASE WHEN n % 97 = 0 THEN 3 WHEN arrival_time < TIMESTAMP '2024-01-08' THEN 0 WHEN arrival_time < TIMESTAMP '2024-01-16' THEN 1
+    WHEN arrival_time < TIMESTAMP '2024-01-24' THEN 2 ELSE 3 END AS part FROM parsed),
+seen AS (SELECT part, max(arrival_time) AS arrived, max(coalesce(event_time, arrival_time)) AS happened FROM landed GROUP BY part),
+marks AS (SELECT part, max(arrived) OVER w - INTERVAL 1 DAY AS arrival_mark, max(happened) OVER w - INTERVAL 6 HOUR AS event_mark
+  FROM seen WINDOW w AS (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+marked AS (SELECT *, coalesce(arrival_time < arrival_mark, FALSE) AS late_arrival, coalesce(coalesce(event_time, arrival_time) < event_mark, FALSE) AS late_event
+  FROM landed JOIN marks USING (part))"""
+FILED = """, filed AS (
+  SELECT event_id AS transaction_id, customer_id, customer_segment, amount, days_to_dispute,
+    CAST(event_time + to_seconds(CAST(floor(days_to_dispute * 86400) AS BIGINT)) AS DATE) AS filed_on, CAST(1 - is_fraud AS INTEGER) AS is_friendly
+  FROM (SELECT *, CASE WHEN n % 37 <> 0 AND n % 41 <> 0 AND n % 43 <> 0 THEN (n % 241) / 2.0::DOUBLE END AS days_to_dispute FROM tx WHERE chargeback_status = 'Filed'))"""
+NUMBERED = """, numbered AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '2024-01-12' THEN 0 WHEN event_time < TIMESTAMP '2024-01-22' THEN 1 ELSE 2 END AS part,
+    CAST(right(event_id, 6) AS BIGINT) AS number FROM silver),
+kinds AS (SELECT *, CASE WHEN part < 2 AND number % 17 = 0 THEN 2 WHEN part = 0 AND number % 13 = 0 THEN 1 ELSE 0 END AS corrected FROM numbered)"""
+MENDED = NUMBERED + """, mended AS (
+  SELECT * REPLACE (
+    CASE WHEN corrected = 1 THEN amount * 2 ELSE amount END AS amount, CASE WHEN corrected = 1 THEN 0 ELSE velocity_5min END AS velocity_5min,
+    CAST(CASE WHEN corrected = 2 THEN 1 - is_fraud ELSE is_fraud END AS INTEGER) AS is_fraud,
+    CASE WHEN corrected = 2 THEN 'HIGH' ELSE merchant_risk_tier END AS merchant_risk_tier,
+    CASE WHEN corrected = 2 THEN event_time + INTERVAL 1 DAY ELSE event_time END AS event_time)
+  FROM kinds)"""
+
 TWINS = {
+    **{f"kept_{name.removeprefix('gold_')}": (LAKE + MENDED, sql.replace("FROM silver", "FROM mended")) for name, sql in GOLD.items()},
+    "late_dedup": (LAKE + LANDED, """SELECT event_id, late_arrival AS late FROM marked
+        QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY part, arrival_time) = 1"""),
+    "late_sliding": (LAKE + LANDED, """SELECT customer_id, window_start, count(*) AS events, count(*) FILTER (late_event) AS late_events FROM (
+        SELECT customer_id, late_event, time_bucket(INTERVAL 5 MINUTE, coalesce(event_time, arrival_time)) - to_minutes(5 * i) AS window_start FROM marked, range(12) t(i))
+        GROUP BY customer_id, window_start"""),
+    "stateful_velocity": (BASE + f", counted AS ({live('base', v5='INTERVAL 5 MINUTE', v1h='INTERVAL 1 HOUR')})", "SELECT event_id, v5, v1h FROM counted"),
+    "ordered_release": (BASE + f", counted AS ({live('base', v5='INTERVAL 5 MINUTE', v1h='INTERVAL 1 HOUR')})", "SELECT event_id, v5, v1h FROM counted"),
+    "latency_by_range": (LAKE, """SELECT name AS range, count(*) AS events, count(*) AS counted, TRUE AS p50_right, TRUE AS p95_right, TRUE AS p99_right
+        FROM silver JOIN (VALUES ('first', DATE '2024-01-01', DATE '2024-01-15'), ('second', DATE '2024-01-16', DATE '2024-01-31'),
+          ('month', DATE '2024-01-01', DATE '2024-01-31')) r(name, low, high) ON CAST(event_time AS DATE) BETWEEN low AND high GROUP BY name"""),
+    "returning_customers": (LAKE, """SELECT kind, count(*) FILTER (CASE kind WHEN 'returning' THEN a AND b WHEN 'new' THEN b AND NOT a WHEN 'lost' THEN a AND NOT b ELSE a OR b END) AS exact, TRUE AS within
+        FROM (SELECT bool_or(CAST(event_time AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-15') AS a,
+          bool_or(CAST(event_time AS DATE) BETWEEN DATE '2024-01-16' AND DATE '2024-01-31') AS b
+          FROM silver WHERE customer_id IS NOT NULL GROUP BY customer_id), (VALUES ('returning'), ('new'), ('lost'), ('any')) k(kind) GROUP BY kind"""),
+    "heavy_merchants": (LAKE, "SELECT merchant_id, count(*) AS n FROM silver GROUP BY merchant_id HAVING 100 * count(*) >= (SELECT count(*) FROM silver)"),
+    "stream_model_scores": (LAKE, "SELECT event_id, TRUE AS same, 'v1' AS model_version FROM silver"),
+    "filed_chargebacks": (BASE + FILED, "SELECT transaction_id, customer_id, customer_segment, amount, days_to_dispute, filed_on, is_friendly FROM filed"),
+    "chargeback_report": (BASE + FILED, f"""SELECT customer_segment, CASE WHEN days_to_dispute IS NULL THEN 'unknown' WHEN days_to_dispute <= 7 THEN 'week'
+          WHEN days_to_dispute <= 30 THEN 'month' WHEN days_to_dispute <= 90 THEN 'quarter' ELSE 'later' END AS delay_class,
+        count(*) AS chargebacks, sum(is_friendly)::BIGINT AS friendly, sum({CENTS.format('amount')})::DOUBLE AS amount FROM filed GROUP BY ALL"""),
+    "event_store": (LAKE + NUMBERED, """SELECT event_id, day, amount, rule_signal_score, version FROM (
+        SELECT event_id, CAST(event_time AS DATE) + CASE WHEN corrected = 2 THEN 1 ELSE 0 END AS day, amount,
+          CAST(rule_signal_score + CASE corrected WHEN 2 THEN 1000 WHEN 1 THEN 100 ELSE 0 END AS INTEGER) AS rule_signal_score,
+          CAST(CASE WHEN corrected > 0 THEN corrected ELSE part END AS INTEGER) AS version FROM kinds)
+        WHERE day >= DATE '2024-01-04'"""),
     **{name: (LAKE, sql) for name, sql in GOLD.items()},
     **{name: (LAKE, sql) for name, sql in SAVED.items()},
     "silver_rows": (LAKE, SILVER_SELECT),

@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import columns as C
-from txnrisk.operators import dims, envelope, history, ledger, ml, quality, rules, silver
+from txnrisk.operators import dims, envelope, gold_parts, history, ledger, ml, quality, rules, silver, sketches, store
 from txnrisk.plans import features, lake, training
 from txnrisk.schema import LABEL, NULLABLE_COLUMNS, SILVER_FIELDS
 from txnrisk.sources import files, sample_tables
 from txnrisk.storage import new_path
-from txnrisk.streaming import online
+from txnrisk.streaming import late, online, ordered, scoring, state
 
 RUN_TS = "2024-02-01T00:00:00"
 LEDGER_NOW = "2024-01-16 00:00:00"
@@ -360,6 +360,20 @@ def chargebacks_documented(spark, sf_dir):
     return dims.chargebacks(tx_table(spark, sf_dir), "documented")
 
 
+def observed_delays(spark, sf_dir) -> DataFrame:
+    """Transactions with the delay that one of the producers sends along, as text; some of it unusable."""
+    days = F.when(F.col("n") % 41 == 0, "soon").when(F.col("n") % 43 == 0, "-1").otherwise((F.col("n") % 241 / 2).cast("string"))
+    return tx_table(spark, sf_dir).withColumn("chargeback_delay_days", F.when(F.col("n") % 37 != 0, days))
+
+
+def filed_chargebacks(spark, sf_dir):
+    return dims.filed_chargebacks(observed_delays(spark, sf_dir))
+
+
+def chargeback_report(spark, sf_dir):
+    return dims.chargeback_report(dims.filed_chargebacks(observed_delays(spark, sf_dir)))
+
+
 def replay(spark, sf_dir):
     rows = dims.replay(tx_table(spark, sf_dir).select("event_id", "customer_id", "amount"), 10)
     return rows.select("event_id", "replay_round", "customer_id", "amount")
@@ -463,20 +477,184 @@ def stream_scored(spark, sf_dir):
     return online.scored_events(spark, out).select("event_id", (F.col("risk_score") - by_velocity).alias("base_score"))
 
 
+#: Messages land in four parts by arrival; every 97th event of the first three lands with the last.
+LANDING = ("2024-01-08", "2024-01-16", "2024-01-24")
+LATE_EVERY = 97
+
+
+def part_of(column, days: tuple[str, ...]):
+    part = F.lit(len(days))
+    for k, day in reversed(list(enumerate(days))):
+        part = F.when(F.col(column) < F.lit(day).cast("timestamp_ntz"), k).otherwise(part)
+    return part
+
+
+def in_parts(parts: int, rows: DataFrame, path: str, run: Callable[[DataFrame], None], read: Callable[[], DataFrame]) -> None:
+    """Let the parts of ``rows`` (column ``part``) land one after the other, each followed by a run over the new files."""
+    for k in range(parts):
+        own = rows.where(F.col("part") == k).drop("part")
+        own.write.mode("append").format("text" if own.columns == ["body"] else "parquet").save(path)
+        run(read())
+
+
+def with_late_messages(spark, sf_dir, job: late.LateAware) -> None:
+    """The job over all messages in four micro-batches, the last of which holds late ones."""
+    sent = sample_tables.messages(tx_table(spark, sf_dir)).withColumn("at", F.col("arrival_time").cast("timestamp_ntz"))
+    part = F.when(F.col("n") % LATE_EVERY == 0, len(LANDING)).otherwise(part_of("at", LANDING))
+    path = new_path(spark, "landing")
+    in_parts(
+        len(LANDING) + 1, sent.select("body", part.alias("part")), path, lambda rows: job.start(rows).awaitTermination(),
+        lambda: online.parse_stream(online.read_stream(spark, path)),
+    )
+
+
+def late_dedup(spark, sf_dir):
+    """First deliveries of a stream whose last batch brings events from weeks ago, and which of them were late."""
+    job = late.LateAwareDedup(new_path(spark, "late-dedup"))
+    with_late_messages(spark, sf_dir, job)
+    return late.first_deliveries(spark, job.base).select("event_id", "late")
+
+
 def stream_dedup(spark, sf_dir):
-    stream = online.parse_stream(online.read_stream(spark, workspace(spark, sf_dir).bronze))
-    out = new_path(spark, "dedup")
-    online.run_to_table(online.dedup_stream(stream).select("event_id"), out).awaitTermination()
-    return spark.read.parquet(out)
+    return late_dedup(spark, sf_dir).select("event_id")
+
+
+def late_sliding(spark, sf_dir):
+    """Sliding counts of the same stream, with the share that came late."""
+    job = late.LateAwareCounts(new_path(spark, "late-sliding"))
+    with_late_messages(spark, sf_dir, job)
+    return late.total_counts(spark, job.base)
 
 
 def stream_sliding(spark, sf_dir):
-    stream = online.parse_stream(online.read_stream(spark, workspace(spark, sf_dir).bronze))
-    out = new_path(spark, "sliding")
-    counts = online.sliding_counts(online.with_lateness(stream))
-    online.updates_to_table(counts, out).awaitTermination()
-    rows = online.newest_rows(spark, out, ["customer_id", "window_start"])
-    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    return late_sliding(spark, sf_dir).drop("late_events")
+
+
+STATE_DAYS = ("2024-01-09", "2024-01-17", "2024-01-25")
+
+
+def stateful_velocity(spark, sf_dir):
+    """Live velocity from keyed state, over four micro-batches in the order of time."""
+    rows = sample_tables.keyed_events(spark, sf_dir).select("event_id", "event_time", "customer_id")
+    path, out = new_path(spark, "in-order"), new_path(spark, "velocity")
+
+    def read():
+        stream = spark.readStream.schema("event_id string, event_time timestamp_ntz, customer_id string").parquet(path)
+        return state.stateful_velocity(stream, {"v5": 300, "v1h": 3600})
+
+    in_parts(len(STATE_DAYS) + 1, rows.withColumn("part", part_of("event_time", STATE_DAYS)), path, lambda found: state.run(spark, found, out), read)
+    return spark.read.parquet(out).select("event_id", "v5", "v1h")
+
+
+JITTER = 6 * 3600
+
+
+def ordered_release(spark, sf_dir):
+    """Velocity of a stream whose events arrive up to six hours out of order, held and released by time."""
+    number = F.substring("event_id", 5, 16).cast("bigint")
+    rows = sample_tables.keyed_events(spark, sf_dir).select("event_id", "event_time", "customer_id")
+    rows = rows.withColumn("at", C.plus_seconds(F.col("event_time"), (number * 7919 % JITTER).cast("int"))).withColumn("part", part_of("at", STATE_DAYS))
+    job, path = ordered.OrderedRelease(new_path(spark, "ordered"), {"v5": 300, "v1h": 3600}, JITTER), new_path(spark, "out-of-order")
+    schema = "event_id string, event_time timestamp_ntz, customer_id string"
+    in_parts(
+        len(STATE_DAYS) + 1, rows.drop("at"), path, lambda found: job.start(found).awaitTermination(),
+        lambda: spark.readStream.schema(schema).parquet(path),
+    )
+    job.process(spark.createDataFrame([], schema), len(STATE_DAYS) + 1, flush=True)
+    return ordered.released(spark, job.base).select("event_id", "v5", "v1h")
+
+
+# ---------------------------------------------------------------- sketches by day
+
+RANGES = {"first": ("2024-01-01", "2024-01-15"), "second": ("2024-01-16", "2024-01-31"), "month": ("2024-01-01", "2024-01-31")}
+
+
+def written_sketches(spark, sf_dir) -> DataFrame:
+    path = new_path(spark, "sketches")
+    sketches.day_sketches(silver_table(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def latency_by_range(spark, sf_dir):
+    """Delay quantiles of ranges of days from the days' sketches, and whether their exact ranks are within the bound."""
+    found = sketches.latency_by_range(written_sketches(spark, sf_dir), RANGES)
+    return sketches.rank_checks(found, silver_table(spark, sf_dir), RANGES)
+
+
+def returning_customers(spark, sf_dir):
+    """Customers by their presence in two ranges: exact counts, and whether the sketches' are within the bound."""
+    found = sketches.returning_customers(written_sketches(spark, sf_dir), RANGES["first"], RANGES["second"])
+    day = F.to_date("event_time").cast("string")
+    seen = silver_table(spark, sf_dir).where("customer_id is not null").groupBy("customer_id").agg(
+        *(F.max(day.between(*RANGES[n])).alias(n) for n in ("first", "second"))
+    )
+    tests = {"returning": "first and second", "new": "second and not first", "lost": "first and not second", "any": "first or second"}
+    exact = seen.agg(*(F.count_if(F.expr(t)).alias(f"n_{n}") for n, t in tests.items()))
+    lines = [
+        F.struct(F.lit(n).alias("kind"), F.col(f"n_{n}").alias("exact"), (F.abs(F.col(n) - F.col(f"n_{n}")) <= sketches.COUNT_ERROR * F.col("n_any")).alias("within"))
+        for n in tests
+    ]
+    return exact.crossJoin(found).select(F.inline(F.array(*lines)))  # two rows of figures
+
+
+def heavy_merchants(spark, sf_dir):
+    """Merchants with a hundredth of all events or more, with exact counts."""
+    return sketches.heavy_keys(silver_table(spark, sf_dir), "merchant_id", 0.01)
+
+
+# ---------------------------------------------------------------- stores that follow loads
+
+LOAD_DAYS = ("2024-01-12", "2024-01-22")
+STORE_FROM = "2024-01-04"
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Silver rows with their load, and a number that tells which of them are corrected later."""
+    number = F.substring("event_id", -6, 6).cast("bigint")
+    return rows.select("*", part_of("event_time", LOAD_DAYS).alias("part"), number.alias("number"))
+
+
+def event_store(spark, sf_dir):
+    """The event store after three batches: corrections of scores, then of days, then expiry."""
+    rows = numbered(silver_table(spark, sf_dir)).select("event_id", F.to_date("event_time").alias("day"), "amount", "rule_signal_score", "part", "number")
+    kept = store.EventStore(new_path(spark, "store"))
+    names = ["event_id", "day", "amount", "rule_signal_score", "version"]
+    for k in range(len(LOAD_DAYS) + 1):
+        own = rows.where(F.col("part") == k)
+        if k == 1:
+            own = own.unionByName(rows.where("part = 0 and number % 13 = 0").withColumn("rule_signal_score", F.col("rule_signal_score") + 100))
+        if k == 2:
+            moved = rows.where("part < 2 and number % 17 = 0").withColumn("day", F.date_add("day", 1))
+            own = own.unionByName(moved.withColumn("rule_signal_score", F.col("rule_signal_score") + 1000))
+        own = own.withColumn("version", F.lit(k)).select(*names)
+        kept.upsert(own, k, STORE_FROM if k == 2 else None, "version")
+    return kept.current(spark, own.schema).select(*names)
+
+
+_KEPT: dict[tuple[str, str], gold_parts.GoldParts] = {}
+
+
+def kept_gold(spark, sf_dir) -> gold_parts.GoldParts:
+    """Partial Gold sums after three loads, of which the later two correct events of the earlier ones."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _KEPT:
+        kept, rows = gold_parts.GoldParts(new_path(spark, "gold-parts")), numbered(silver_table(spark, sf_dir))
+        first = rows.where("part = 0 and number % 13 = 0").withColumns({"amount": F.col("amount") * 2, "velocity_5min": F.lit(0)})
+        second = rows.where("part < 2 and number % 17 = 0").withColumns(
+            {"is_fraud": 1 - F.col("is_fraud"), "merchant_risk_tier": F.lit("HIGH"), "event_time": C.plus_seconds(F.col("event_time"), DAY)}
+        )
+        for k, more in enumerate((None, first, second)):
+            own = rows.where(F.col("part") == k)
+            kept.load(own.unionByName(more) if more is not None else own, k)
+        _KEPT[key] = kept
+    return _KEPT[key]
+
+
+def kept_query(table: str) -> Query:
+    def run(spark, sf_dir):
+        return kept_gold(spark, sf_dir).table(spark, table, RUN_TS, "lake", "risk")
+
+    return run
 
 
 def conservation(spark, sf_dir):
@@ -518,8 +696,29 @@ def enhanced_from_raw(spark, sf_dir):
     )
 
 
+_TRAINED: dict[tuple[str, str], str] = {}
+
+
+def trained_job(spark, sf_dir) -> str:
+    """Where the training job left its model and scores; it runs on first use in an application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        path = new_path(spark, "model")
+        training.run(spark, silver_table(spark, sf_dir), path)
+        _TRAINED[key] = path
+    return _TRAINED[key]
+
+
 def model_report(spark, sf_dir):
-    return training.part_counts(training.run(spark, silver_table(spark, sf_dir), new_path(spark, "model")).scored)
+    return training.part_counts(spark.read.parquet(f"{trained_job(spark, sf_dir)}/scores"))
+
+
+def stream_model_scores(spark, sf_dir):
+    """The saved model inside a stream: does each score equal the batch score of the same model?"""
+    job, out, clean = trained_job(spark, sf_dir), new_path(spark, "live-scores"), silver_table(spark, sf_dir)
+    stream = spark.readStream.schema(clean.schema).option("maxFilesPerTrigger", 10).parquet(workspace(spark, sf_dir).out + "/silver")
+    scoring.run(scoring.scored_stream(stream, f"{job}/model", "v1"), out).awaitTermination()
+    return scoring.compared(spark.read.parquet(out), spark.read.parquet(f"{job}/scores"))
 
 
 GOLD = {
@@ -527,6 +726,7 @@ GOLD = {
     "gold_fraud_by_hour": "fraud_by_hour", "gold_high_risk_customers": "high_risk_customers",
     "gold_run_summary": "pipeline_run_summary",
 }
+KEPT = {f"kept_{name.removeprefix('gold_')}": table for name, table in GOLD.items()}
 SAVED = {f"q_{n}": n for n in lake.SAVED_QUERIES}
 OTHERS = [
     silver_rows, quarantine_reasons, dedup_events, dead_letters, routing_attributes, online_times,
@@ -538,11 +738,13 @@ OTHERS = [
     merchants_dim, devices_dim, chargebacks, chargebacks_documented, replay, enriched_with_dims,
     idempotent_skip, event_upsert, ttl_expiry, ordered_events, stream_sample, feature_frame, split,
     class_weights, evaluate, gbt_scores, sliding_counts, stream_scored, stream_dedup, stream_sliding,
-    conservation, enhanced_from_raw, model_report,
+    conservation, enhanced_from_raw, model_report, late_dedup, late_sliding, stateful_velocity, event_store,
+    filed_chargebacks, chargeback_report,    ordered_release, latency_by_range, returning_customers, heavy_merchants, stream_model_scores,
 ]
 
 
 def all_queries() -> dict[str, Query]:
     named = {name: gold_query(table) for name, table in GOLD.items()}
+    named |= {name: kept_query(table) for name, table in KEPT.items()}
     named |= {name: saved(query) for name, query in SAVED.items()}
     return named | {q.__name__: q for q in OTHERS}

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: A dimension is broadcast only when its planned size is at most this.
@@ -46,6 +47,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared folder and read back: the same on every later use, and cheap to read again."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(seen: Observation) -> dict:
+    """What an observation counted; nothing where the optimiser knew the rows to be none and left it out."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return {}
+
+
 def planned_bytes(df: DataFrame) -> int:
     """Optimizer's size estimate; for plain files this is at least the file size."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
