@@ -142,6 +142,19 @@ def test_sharding_stays_out_of_python(spark):
     assert set(plan.columns) == {"doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"}
 
 
+# ---------------------------------------------------------------- ids outside the table of pieces
+
+
+def test_pieces_that_do_not_exist_stop_the_run(spark):
+    from txnrisk.llm import pieces
+
+    schema = "doc_id long, ids array<int>"
+    assert [r.text for r in pieces.decode(spark.createDataFrame([(1, None), (2, [])], schema), "piece_bpe_32k.model").collect()] == ["", ""]
+    for ids in ([5, 10**6], [-1], [None]):
+        with pytest.raises(Exception, match="table of pieces"):
+            pieces.decode(spark.createDataFrame([(1, ids)], schema), "piece_bpe_32k.model").collect()
+
+
 # ---------------------------------------------------------------- whitening
 
 

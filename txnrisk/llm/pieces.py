@@ -327,13 +327,20 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
-    """(doc_id, text) of rows with doc_id and ids; null ids are none."""
+    """(doc_id, text) of rows with doc_id and ids; null ids are none, and no ids give an empty text.
+
+    An id that the table doesn't have, or a null among the ids, stops the run: its text isn't known. Repeated
+    rows and a null doc_id stay; other columns aren't read.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(tokenizer)
         for batch in batches:
             lists = [x or [] for x in batch.column(1).to_pylist()]
-            ids = np.array([i for x in lists for i in x], dtype=np.int64)
+            flat = [i for x in lists for i in x]
+            if None in flat or flat and not 0 <= min(flat) <= max(flat) < len(table.surface_size):
+                raise ValueError("an id that the table of pieces doesn't have")
+            ids = np.array(flat, dtype=np.int64)
             found = table.decode(ids, np.array([len(x) for x in lists], dtype=np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["doc_id", "text"])
 
@@ -341,5 +348,9 @@ def decode(coded: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Per row: doc_id, n_tokens, CRC-32 of the ids, SHA-256 of the text that decoding them gives."""
+    """Per row: doc_id, n_tokens, CRC-32 of the ids, SHA-256 of the text that decoding them gives.
+
+    A null text is empty, and an empty one has no ids and the digest of nothing; long texts are taken as a whole.
+    Repeated rows and a null doc_id stay; other columns aren't read.
+    """
     return map_arrow(texts(docs), _coded(tokenizer, _digests), "doc_id long, n_tokens long, ids_crc32 long, decoded_sha256 string")

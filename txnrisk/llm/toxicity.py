@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import in_slices, held_out, map_arrow, saved, texts
+from txnrisk.llm.common import held_out, in_slices, map_arrow, saved, texts
 from txnrisk.llm.decontaminate import words
 from txnrisk.storage import planned_bytes
 
@@ -247,7 +247,11 @@ def report(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def clean(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, with all their columns."""
+    """The rows of ``docs`` that aren't predicted toxic, with all their columns.
+
+    A null or empty text has the score of a text without a significant passage and stays with it; a long text is
+    judged as a whole. Each row is judged by its text alone, so repeated rows stay or go together.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_slices(batches):
