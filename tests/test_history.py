@@ -157,3 +157,23 @@ def test_rows_without_time(spark):
     assert got["Z1"].velocity_5min is None and got["Z1"].lifetime_tx_count is None
     want = loop(rows[:-1], [300])
     assert all(got[e].velocity_5min == w["p300"] for e, w in want.items())
+
+
+@pytest.mark.parametrize("limit", [10**6, 5])
+def test_sessions_match_a_loop(spark, monkeypatch, limit):
+    from txnrisk.operators import sessions
+
+    monkeypatch.setattr(H, "LIMIT", limit)
+    rows = make(120, 11, 20000, 50) + [("Z1", "HOT", None, None, 5.0, "US", "CA")]
+    want, last, number = {"Z1": None}, {}, {}
+    for eid, cust, t, *_ in sorted(rows[:-1], key=lambda r: (r[2], r[0])):
+        if cust not in last or t - last[cust] > timedelta(seconds=300):
+            number[cust] = number.get(cust, 0) + 1
+        last[cust], want[eid] = t, number[cust]
+    df = spark.createDataFrame(rows, DDL)
+    assert {r.event_id: r.session for r in sessions.with_sessions(df, 300).collect()} == want
+    assert max(v or 0 for v in want.values()) > 3
+    flagged = df.withColumns({"new_device_flag": H.F.lit(1), "geo_anomaly_flag": (H.F.col("amount") > 50).cast("int")})
+    found = sessions.session_patterns(flagged, 300, 60.0).collect()
+    assert sum(r.events for r in found) == 120 and {p for r in found for p in r.patterns} == {"card_testing", "account_takeover"}
+    assert all(("card_testing" in r.patterns) == (r.small_events >= 3) for r in found)

@@ -403,6 +403,19 @@ TWINS = {
     "chargeback_report": (BASE + FILED, f"""SELECT customer_segment, CASE WHEN days_to_dispute IS NULL THEN 'unknown' WHEN days_to_dispute <= 7 THEN 'week'
           WHEN days_to_dispute <= 30 THEN 'month' WHEN days_to_dispute <= 90 THEN 'quarter' ELSE 'later' END AS delay_class,
         count(*) AS chargebacks, sum(is_friendly)::BIGINT AS friendly, sum({CENTS.format('amount')})::DOUBLE AS amount FROM filed GROUP BY ALL"""),
+    "session_patterns": (LAKE + """, started AS (
+          SELECT *, CASE WHEN lag(event_time) OVER w IS NULL OR event_time - lag(event_time) OVER w > INTERVAL 1 DAY THEN 1 ELSE 0 END AS first_one
+          FROM silver WINDOW w AS (PARTITION BY customer_id ORDER BY event_time, event_id)),
+        counted AS (SELECT *, CAST(sum(first_one) OVER (PARTITION BY customer_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session FROM started)""",
+        f"""SELECT customer_id, session, min(event_time) AS first_time, max(event_time) AS last_time, count(*) AS events, count(*) FILTER (amount <= 20) AS small_events,
+          count(*) FILTER (new_device_flag = 1) AS new_device_events, count(*) FILTER (geo_anomaly_flag = 1) AS geo_anomaly_events, {VOLUME} AS amount,
+          concat_ws(',', CASE WHEN count(*) FILTER (amount <= 20) >= 3 THEN 'card_testing' END,
+            CASE WHEN count(*) FILTER (new_device_flag = 1) > 0 AND count(*) FILTER (geo_anomaly_flag = 1) > 0 THEN 'account_takeover' END) AS patterns
+        FROM counted GROUP BY customer_id, session HAVING patterns <> ''"""),
+    "stream_scored_in_order": (LAKE + f""", arrived AS (SELECT * REPLACE (coalesce(event_time, arrival_time) AS event_time) FROM parsed
+          QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY arrival_time) = 1),
+        counted AS ({live('arrived', v5='INTERVAL 5 MINUTE', v1h='INTERVAL 1 HOUR')})""",
+        f"SELECT event_id, {total_score('v5')} AS risk_score, v5 AS velocity_5min_live, v1h AS velocity_1hour_live FROM counted"),
     "event_store": (LAKE + NUMBERED, """SELECT event_id, day, amount, rule_signal_score, version FROM (
         SELECT event_id, CAST(event_time AS DATE) + CASE WHEN corrected = 2 THEN 1 ELSE 0 END AS day, amount,
           CAST(rule_signal_score + CASE corrected WHEN 2 THEN 1000 WHEN 1 THEN 100 ELSE 0 END AS INTEGER) AS rule_signal_score,

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import columns as C
-from txnrisk.operators import dims, envelope, gold_parts, history, ledger, ml, quality, rules, silver, sketches, store
+from txnrisk.operators import dims, envelope, gold_parts, history, ledger, ml, quality, rules, sessions, silver, sketches, store
 from txnrisk.plans import features, lake, training
 from txnrisk.schema import LABEL, NULLABLE_COLUMNS, SILVER_FIELDS
 from txnrisk.sources import files, sample_tables
@@ -276,6 +276,12 @@ def pattern_tags(spark, sf_dir):
     return tagged.where(F.size("patterns") > 0).select("event_id", joined("patterns").alias("patterns"))
 
 
+def session_patterns(spark, sf_dir):
+    """Sessions with a pattern that shows only over several events; a day's pause ends a session."""
+    found = sessions.session_patterns(silver_table(spark, sf_dir), DAY, SMALL_AMOUNT * 2)
+    return found.where(F.size("patterns") > 0).withColumn("patterns", joined("patterns"))
+
+
 def processing_stats(spark, sf_dir):
     scored = rules.apply_rules(silver_table(spark, sf_dir), "consumer")
     done = scored.select("is_flagged", F.lit("processed").alias("status"))
@@ -477,6 +483,25 @@ def stream_scored(spark, sf_dir):
     return online.scored_events(spark, out).select("event_id", (F.col("risk_score") - by_velocity).alias("base_score"))
 
 
+ONLINE_NOW = "2024-02-01 00:00:00"
+
+
+def stream_scored_in_order(spark, sf_dir):
+    """The online job over messages that land in the order of their event times: velocity and the whole score."""
+    sent = sample_tables.messages(tx_table(spark, sf_dir)).select("body")
+    at = F.coalesce(*(F.get_json_object("body", f"$.metadata.{c}").try_cast("timestamp_ntz") for c in ("event_time", "arrival_time")))
+    base, path = new_path(spark, "online"), new_path(spark, "time-order")
+    job = online.OnlineJob(base, now=ONLINE_NOW)
+    in_parts(
+        len(STATE_DAYS) + 1, sent.withColumn("at", at).withColumn("part", part_of("at", STATE_DAYS)).drop("at"), path,
+        lambda found: job.start(found).awaitTermination(), lambda: online.read_stream(spark, path),
+    )
+    return online.scored_events(spark, base).select("event_id", "risk_score", "velocity_5min_live", "velocity_1hour_live")
+
+
+STATE_DAYS = ("2024-01-09", "2024-01-17", "2024-01-25")
+
+
 #: Messages land in four parts by arrival; every 97th event of the first three lands with the last.
 LANDING = ("2024-01-08", "2024-01-16", "2024-01-24")
 LATE_EVERY = 97
@@ -530,9 +555,6 @@ def stream_sliding(spark, sf_dir):
     return late_sliding(spark, sf_dir).drop("late_events")
 
 
-STATE_DAYS = ("2024-01-09", "2024-01-17", "2024-01-25")
-
-
 def stateful_velocity(spark, sf_dir):
     """Live velocity from keyed state, over four micro-batches in the order of time."""
     rows = sample_tables.keyed_events(spark, sf_dir).select("event_id", "event_time", "customer_id")
@@ -739,7 +761,7 @@ OTHERS = [
     idempotent_skip, event_upsert, ttl_expiry, ordered_events, stream_sample, feature_frame, split,
     class_weights, evaluate, gbt_scores, sliding_counts, stream_scored, stream_dedup, stream_sliding,
     conservation, enhanced_from_raw, model_report, late_dedup, late_sliding, stateful_velocity, event_store,
-    filed_chargebacks, chargeback_report,    ordered_release, latency_by_range, returning_customers, heavy_merchants, stream_model_scores,
+    filed_chargebacks, chargeback_report, session_patterns, stream_scored_in_order,    ordered_release, latency_by_range, returning_customers, heavy_merchants, stream_model_scores,
 ]
 
 
