@@ -108,6 +108,14 @@ def test_state_is_gone_two_hours_later(spark, tmp_path):
     assert final <= 12
 
 
+def test_state_has_as_many_keys_as_buckets_not_as_customers(spark, tmp_path):
+    crowd = [event(i, 0.001 * (i // 2), f"C{i % 400}") for i in range(800)]
+    got, query = run_state(spark, tmp_path, [crowd], buckets=4)
+    want = history.velocity_live(spark.createDataFrame(crowd, EVENTS), {"v5": 300, "v1h": 3600})
+    assert got == {r.event_id: (r.v5, r.v1h) for r in want.collect()}
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]) < 60
+
+
 # ---------------------------------------------------------------- event store
 
 STORE = "event_id string, day date, score int, version int"
