@@ -64,6 +64,16 @@ def test_late_counts_add_up_to_the_batch_result(spark, tmp_path):
     assert 0 < sum(v[1] for v in got.values()) < sum(v[0] for v in got.values())
 
 
+def test_late_counts_are_written_once_per_slide_not_once_per_window(spark, tmp_path):
+    job = late.LateAwareCounts(str(tmp_path))
+    for k, hour in enumerate((30, 1)):
+        job.process(spark.createDataFrame([event(10 * k + i, hour + i / 60, "A") for i in range(10)], EVENTS), k)
+    parts = spark.read.parquet(job.path("counts"))
+    assert sorted((str(r.slot)[11:16], r.events, r.late) for r in parts.collect()) == [
+        ("01:00", 5, "true"), ("01:05", 5, "true"), ("06:00", 5, "false"), ("06:05", 5, "false")]
+    assert late.total_counts(spark, job.base).agg(F.sum("events"), F.sum("late_events")).first()[:] == (240, 120)
+
+
 def test_late_job_on_a_stream_takes_each_file_once(spark, tmp_path):
     source, job = str(tmp_path / "in"), late.LateAwareDedup(str(tmp_path / "out"))
     for k, rows in enumerate([[event(1, 0)], [event(2, 90)], [event(3, 1), event(1, 0)]]):

@@ -20,9 +20,11 @@ from txnrisk.functions.columns import ntz_literal
 from txnrisk.operators import ledger
 from txnrisk.sources.files import read_or_empty
 from txnrisk.storage import observed
-from txnrisk.streaming.online import days_of, sliding_counts, write_batch
+from txnrisk.streaming.online import days_of, write_batch
 
 HOUR = 3600
+#: Length of the sliding windows, and time between their starts.
+SIZE, SLIDE = "1 hour", "5 minutes"
 
 
 @dataclass
@@ -109,23 +111,17 @@ class LateAwareCounts(LateAware):
     """Events per customer in sliding windows, as partial counts of each batch.
 
     Counts add up, so no window has to stay open for a late row, and none is
-    closed to one: its partial count is one more row of the window.
+    closed to one. All events between two starts of windows are in the same
+    windows, so a batch keeps one count for these; :func:`total_counts` deals it
+    to the windows, once for all batches.
     """
 
     time: str = "event_time"
     delay: int = 6 * HOUR
 
     def _reduced(self, rows: DataFrame, marked: DataFrame, batch_id: int) -> DataFrame:
-        of_side = [sliding_counts(marked.where(F.col("late") == late)).withColumn("late", F.lit(late)) for late in (False, True)]
-        return of_side[0].unionByName(of_side[1])
-
-    def process(self, rows: DataFrame, batch_id: int) -> None:
-        # Both sides count the same read of the source.
-        rows = rows.select("customer_id", self.time).persist()
-        try:
-            super().process(rows, batch_id)
-        finally:
-            rows.unpersist()
+        counts = marked.groupBy("customer_id", "late", F.window(self.time, SLIDE).alias("w")).agg(F.count("*").alias("events"))
+        return counts.select("customer_id", F.col("w.start").alias("slot"), "events", "late")
 
     def _write(self, out: DataFrame, batch_id: int) -> None:
         write_batch(out, self.path("counts"), batch_id, ["late"])
@@ -139,7 +135,8 @@ def total_counts(spark: SparkSession, base: str) -> DataFrame:
     """(customer_id, window_start, events, late_events): partial counts added up."""
     parts = spark.read.parquet(f"{base}/counts")
     late = F.sum(F.when(F.col("late").cast("boolean"), F.col("events")).otherwise(0))
-    return parts.groupBy("customer_id", "window_start").agg(F.sum("events").alias("events"), late.alias("late_events"))
+    total = parts.groupBy("customer_id", F.window("slot", SIZE, SLIDE).alias("w")).agg(F.sum("events").alias("events"), late.alias("late_events"))
+    return total.select("customer_id", F.col("w.start").alias("window_start"), "events", "late_events")
 
 
 def batch_record(spark: SparkSession, base: str) -> DataFrame:
