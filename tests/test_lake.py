@@ -14,6 +14,7 @@ from txnrisk.operators import dims, ml
 from txnrisk.plans import lake, oracle, queries
 from txnrisk.schema import GOLD_TABLES
 from txnrisk.sources import files, sample_tables
+from txnrisk.streaming import online
 
 SF = "/root/testdata/sf0.001"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF), reason="sample tables not present")
@@ -121,3 +122,17 @@ def test_every_query_equals_its_twin(spark):
     assert set(twins) <= set(every)
     wrong = {n: compare.differences(every[n](spark, SF), con, sql) for n, sql in twins.items()}
     assert {n: w for n, w in wrong.items() if w} == {}
+
+
+def test_messages_are_kept_compressed_and_read_alike(spark, tmp_path):
+    path, line = str(tmp_path / "bronze"), '{"metadata": {"event_id": "E%04d"}, "payload": {"amount": 1.5, "type": "PAYMENT"}}'
+    bodies = [line % i for i in range(3000)]
+    files.write_bronze(spark.createDataFrame([(b,) for b in bodies], "body string"), path, F.lit("2024-01-02").cast("date"))
+    size = sum(p.stat().st_size for p in (tmp_path / "bronze").rglob("part-*"))
+    assert size < sum(map(len, bodies)) / 3
+    assert sorted(r.body for r in files.read_bronze(spark, path).collect()) == bodies
+    target, other = str(tmp_path / "promoted"), str(tmp_path / "seen")
+    assert files.promote_bronze(spark, path, target)["uploaded"] == len(bodies)
+    assert sorted(r.body for r in files.read_bronze(spark, target).collect()) == bodies
+    online.run_to_table(online.read_stream(spark, path), other).awaitTermination()
+    assert sorted(r.body for r in spark.read.parquet(other).select("body").collect()) == bodies
