@@ -1,5 +1,6 @@
 """Token ids against the library's plain call, also where a text holds the text of a special token."""
 
+import numpy as np
 import public_tokenizers
 
 from txnrisk.llm import tokenfile
@@ -16,3 +17,22 @@ def test_special_tokens_are_encoded_as_by_the_plain_library():
     expected = [plain.encode(t, add_special_tokens=False).ids for t in batch]
     assert 50256 in expected[1]
     assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == sum(expected, [])
+
+
+def test_frequent_chunks_stay_known_when_room_is_made(monkeypatch):
+    """op3_token_output: dropping all chunks at once had every frequent word encoded again."""
+    monkeypatch.setattr(tokenfile, "REMEMBER", 50)
+    encoder = tokenfile.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    plain = lambda t: encoder.tokenizer.encode(t, add_special_tokens=False).ids
+    learned = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learned.extend(new), learn(new)))
+    for k in range(40):
+        texts = [f"the house of word{k}x{i}\nthe end" for i in range(10)] + ["", "  two  spaces"]
+        ids, counts = encoder.encode(texts)
+        assert [list(p) for p in np.split(ids, np.cumsum(counts)[:-1])] == [plain(t) for t in texts]
+    assert learned.count(" house") == 1 and len(encoder.place) < 100
+    for k in range(10):  # nothing comes twice
+        encoder.encode([f"once{k}y{i}" for i in range(60)])
+    ids, counts = encoder.encode(["the house"])
+    assert ids.tolist() == plain("the house")

@@ -192,6 +192,20 @@ class Encoder:
         self.place = {"\0": 0, "": 1}
         self.starts, self.ids, self.known, self.used = np.array([0, 1, 1]), np.zeros(1 << 16, np.uint32), 2, 1
         self.ids[0] = self.line_feed
+        self.uses = np.zeros(2, np.int64)
+
+    def forget(self) -> None:
+        """Keep the chunks that came more than once, at most half of ``REMEMBER``: most others never come again."""
+        order = np.argsort(-self.uses[2 : self.known], kind="stable")[: REMEMBER // 2] + 2
+        kept = np.sort(order[self.uses[order] > 1])
+        names = list(self.place)  # in order of their numbers
+        sizes = self.starts[kept + 1] - self.starts[kept]
+        ends = np.cumsum(sizes)
+        ids = self.ids[np.repeat(self.starts[kept] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        uses = self.uses[kept] // 2  # what was frequent long ago makes room in time
+        self.reset()
+        self._add([names[k] for k in kept.tolist()], ids, sizes)
+        self.uses[2:] = uses
 
     def _learn(self, new: list[str]) -> None:
         """Encode chunks, many in one text with a line feed between them, where pieces are cut for sure."""
@@ -203,7 +217,9 @@ class Encoder:
         inner[ends] = False
         joined[inner] = np.concatenate(found)
         counts = np.diff(np.flatnonzero(joined == self.line_feed), prepend=-1) - 1
-        ids = joined[joined != self.line_feed]
+        self._add(new, joined[joined != self.line_feed], counts)
+
+    def _add(self, new: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
         if self.used + len(ids) > len(self.ids):
             self.ids = np.concatenate((self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)))
         self.ids[self.used : self.used + len(ids)] = ids
@@ -211,11 +227,12 @@ class Encoder:
         self.place.update(zip(new, range(self.known, self.known + len(new))))
         self.known += len(new)
         self.used += len(ids)
+        self.uses = np.concatenate((self.uses, np.zeros(len(new), np.int64)))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         if len(self.place) > REMEMBER:
-            self.reset()
+            self.forget()
         chunks: list[str] = []
         counts = np.zeros(len(texts), dtype=np.int64)
         odd: dict[int, np.ndarray] = {}
@@ -239,6 +256,7 @@ class Encoder:
                 for k in np.unique(np.searchsorted(upto, [i for i in missing if not own[chunks[i]]], side="right")).tolist():
                     odd[k] = self._ids(texts[k])
             at[missing] = [self.place.get(chunks[i], 1) for i in missing]
+        self.uses += np.bincount(at, minlength=self.known)
         starts = self.starts[at]
         sizes = self.starts[at + 1] - starts
         ends = np.cumsum(sizes)
