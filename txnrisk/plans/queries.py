@@ -1,8 +1,8 @@
 """The registered queries: every operator on the sample tables.
 
-Three tables are written once per application and source folder, and read back
-by the queries that start there, as the jobs of a lake do: enhanced
-transactions, raw messages, and Silver with its quarantine. Queries about a
+Three tables are written once per application and source folder, when a query first
+needs them, and read back by the queries that start there, as the jobs of a lake do:
+enhanced transactions, raw messages, and Silver with its quarantine. Queries about a
 feature itself compute it from the given tables.
 """
 
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,22 +39,31 @@ class Workspace:
     tx: str
     bronze: str
     out: str
+    written: set[str] = field(default_factory=set)
 
 
 _WORKSPACES: dict[tuple[str, str], Workspace] = {}
 
 
-def workspace(spark: SparkSession, sf_dir: str) -> Workspace:
-    """Paths of the written tables; writes them on first use in an application."""
+def workspace(spark: SparkSession, sf_dir: str, last: str = "silver") -> Workspace:
+    """Paths of the written tables; each is made from the one before. Those up to ``last``
+    (``tx``, ``bronze``, ``silver``) are written on first use in an application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _WORKSPACES:
         base = new_path(spark, "sample-" + hashlib.md5(sf_dir.encode()).hexdigest()[:8])
-        space = Workspace(f"{base}/tx", f"{base}/bronze", f"{base}/lake")
-        build_transactions(spark, sf_dir, space)
-        build_bronze(spark, space)
-        build_silver(spark, space)
-        _WORKSPACES[key] = space
-    return _WORKSPACES[key]
+        _WORKSPACES[key] = Workspace(f"{base}/tx", f"{base}/bronze", f"{base}/lake")
+    space = _WORKSPACES[key]
+    builds = {
+        "tx": lambda: build_transactions(spark, sf_dir, space), "bronze": lambda: build_bronze(spark, space),
+        "silver": lambda: build_silver(spark, space),
+    }
+    for name, build in builds.items():
+        if name not in space.written:
+            build()
+            space.written.add(name)
+        if name == last:
+            break
+    return space
 
 
 def build_transactions(spark: SparkSession, sf_dir: str, space: Workspace) -> None:
@@ -71,11 +80,11 @@ def build_silver(spark: SparkSession, space: Workspace) -> None:
 
 
 def tx_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(workspace(spark, sf_dir).tx)
+    return spark.read.parquet(workspace(spark, sf_dir, "tx").tx)
 
 
 def bronze_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.read_bronze(spark, workspace(spark, sf_dir).bronze)
+    return files.read_bronze(spark, workspace(spark, sf_dir, "bronze").bronze)
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +173,7 @@ def oversize_split(spark, sf_dir):
 def promote_bronze(spark, sf_dir):
     """Bodies by day in the lake that valid messages were promoted to."""
     target = new_path(spark, "promoted")
-    files.promote_bronze(spark, workspace(spark, sf_dir).bronze, target)
+    files.promote_bronze(spark, workspace(spark, sf_dir, "bronze").bronze, target)
     found = spark.read.option("basePath", target).option("recursiveFileLookup", "false").text(target)
     day = F.concat_ws("-", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lpad(F.col("day").cast("string"), 2, "0"))
     event = F.get_json_object("value", "$.metadata.event_id")
@@ -475,7 +484,7 @@ def sliding_counts(spark, sf_dir):
 def stream_scored(spark, sf_dir):
     """All messages through the online job, in micro-batches, to a stop."""
     out = new_path(spark, "online")
-    source = workspace(spark, sf_dir).bronze
+    source = workspace(spark, sf_dir, "bronze").bronze
     stream = online.read_stream(spark, source, max_files=10)
     online.OnlineJob(out).start(stream).awaitTermination()
     # Velocity hangs on the order of files; the rest of the score doesn't.
