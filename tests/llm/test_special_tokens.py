@@ -36,3 +36,26 @@ def test_frequent_chunks_stay_known_when_room_is_made(monkeypatch):
         encoder.encode([f"once{k}y{i}" for i in range(60)])
     ids, counts = encoder.encode(["the house"])
     assert ids.tolist() == plain("the house")
+
+
+def test_a_word_is_encoded_once_for_all_marks_behind_it():
+    """Operator 3: of a new word and the marks that follow it, the library gets the word alone, once."""
+    encoder = tokenfile.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    plain, sent = encoder.tokenizer, []
+
+    class Spy:
+        def encode_batch_fast(self, lines, **options):
+            sent.extend(x for line in lines for x in line.split("\n"))
+            return plain.encode_batch_fast(lines, **options)
+
+        def encode(self, text, **options):
+            return plain.encode(text, **options)
+
+    encoder.tokenizer = Spy()
+    marked = ["a zorbel. zorbel, zorbel! zorbel? it's: it's; 17. x². 日本. жук, ...! ?a. b'. 's. c..", "zorbel.\nzorbel,\n zorbel", "q\t r. zorbel;", ", .", "é. é.", " tail . end."]
+    ids, counts = encoder.encode(marked)
+    want = [plain.encode(t, add_special_tokens=False).ids for t in marked]
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert sent.count(" zorbel") == 1 and not {" zorbel.", " zorbel,", " zorbel!", " zorbel?", " 17."} & set(sent)
+    again, _ = encoder.encode(marked)
+    assert again.tolist() == ids.tolist()

@@ -164,6 +164,10 @@ def document(payload: bytes, k: int) -> np.ndarray:
 
 #: A chunk whose ids don't hang on what stands around it.
 PLAIN = re.compile(r" ?\S+")
+#: What makes one of several chunks, with line feeds between them, no such chunk.
+NOT_PLAIN = re.compile(r"[^\S \n]| [ \n]| \Z")
+#: Marks that are a piece of their own, and one id, where they end a chunk after a letter or digit.
+MARKS = frozenset(".,;:!?")
 
 
 class Encoder:
@@ -182,6 +186,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line_feed = int(self._ids("\n")[0])
+        self.marks = {c: int(self._ids(c)[0]) for c in MARKS}
         self.place: dict[str, int] = {}
         self.reset()
 
@@ -208,6 +213,27 @@ class Encoder:
         self.uses[2:] = uses
 
     def _learn(self, new: list[str]) -> None:
+        """Remember new chunks; of a word and the mark behind it, the word is encoded once for all marks."""
+        # Latin only: what is a letter elsewhere depends on the version of Unicode.
+        marked = [c for c in new if c[-1] in MARKS and c[-2:-1].isalnum() and c[-2] < "\u0250"]
+        words = dict.fromkeys(new)
+        for c in marked:
+            del words[c]
+        stems = [c[:-1] for c in marked]
+        words.update(dict.fromkeys(c for c in stems if c not in self.place))
+        if words:
+            self._encode_new(list(words))
+        if not marked:
+            return
+        at = np.fromiter(map(self.place.__getitem__, stems), dtype=np.int64, count=len(stems))
+        sizes = self.starts[at + 1] - self.starts[at] + 1
+        ends = np.cumsum(sizes)
+        source = np.repeat(self.starts[at] - ends + sizes, sizes) + np.arange(ends[-1])
+        ids = self.ids[np.minimum(source, self.used - 1)]
+        ids[ends - 1] = [self.marks[c[-1]] for c in marked]
+        self._add(marked, ids, sizes)
+
+    def _encode_new(self, new: list[str]) -> None:
         """Encode chunks, many in one text with a line feed between them, where pieces are cut for sure."""
         lines = self.tokenizer.encode_batch_fast(["\n".join(new[k : k + 64]) for k in range(0, len(new), 64)], add_special_tokens=False)
         found = [np.array(e.ids, dtype=np.uint32) for e in lines]
@@ -246,16 +272,18 @@ class Encoder:
         at = np.fromiter(map(self.place.get, chunks, repeat(-1)), dtype=np.int64, count=len(chunks))
         missing = np.flatnonzero(at < 0).tolist()
         if missing:
-            plain = PLAIN.fullmatch
-            own = {chunks[i]: plain(chunks[i]) is not None for i in missing}
-            new = [c for c, fits in own.items() if fits]
-            if new:
-                self._learn(new)
-            if len(new) < len(own):
+            named = [chunks[i] for i in missing]
+            new = list(dict.fromkeys(named))
+            if NOT_PLAIN.search("\n".join(new)):
+                plain = PLAIN.fullmatch
+                odd_ones = {c for c in new if plain(c) is None}
+                new = [c for c in new if c not in odd_ones]
                 upto = np.cumsum(counts)
-                for k in np.unique(np.searchsorted(upto, [i for i in missing if not own[chunks[i]]], side="right")).tolist():
+                for k in np.unique(np.searchsorted(upto, [i for i, c in zip(missing, named) if c in odd_ones], side="right")).tolist():
                     odd[k] = self._ids(texts[k])
-            at[missing] = [self.place.get(chunks[i], 1) for i in missing]
+            if new:
+                self._learn(new)
+            at[missing] = np.fromiter(map(self.place.get, named, repeat(1)), dtype=np.int64, count=len(named))
         self.uses += np.bincount(at, minlength=self.known)
         starts = self.starts[at]
         sizes = self.starts[at + 1] - starts
