@@ -71,17 +71,22 @@ class GoldParts:
         for table, groups in GROUPS.items():
             by = [F.expr(e).alias(n) for n, e in groups.items()]
             signed.groupBy(*by).agg(*_sums(F.col("sign"))).write.mode("overwrite").parquet(f"{self.base}/parts/{table}/load_id={load_id}")
-        self._maxima(taken, replaced, schema, load_id)
-
-    def _maxima(self, taken: DataFrame, replaced: DataFrame, schema, load_id: int) -> None:
-        spark = taken.sparkSession
-        tops = [F.max(c).alias(n) for n, c in MAXIMA.items()]
-        hit = replaced.select(*CUSTOMER).distinct()
-        same = lambda x, y: F.expr(" and ".join(f"{x}.{c} <=> {y}.{c}" for c in CUSTOMER))
-        # Groups with a replaced row are taken from the store as a whole, all others from the load.
-        again = self.store.current(spark, schema).alias("s").join(hit.alias("h"), same("s", "h"), "left_semi").groupBy(*CUSTOMER).agg(*tops)
-        fresh = taken.alias("s").join(hit.alias("h"), same("s", "h"), "left_anti").groupBy(*CUSTOMER).agg(*tops)
-        out = again.withColumn("anew", F.lit(True)).unionByName(fresh.withColumn("anew", F.lit(False)))
+        self._maxima(replaced, schema, load_id)
+
+    def _maxima(self, replaced: DataFrame, schema, load_id: int) -> None:
+        spark = replaced.sparkSession
+        # Groups with a replaced row are taken from the store as a whole, all others from the load: both in
+        # one grouping, to which a replaced row brings nothing but its group.
+        own = self.store.current(spark, schema).select(
+            *CUSTOMER, *sorted(set(MAXIMA.values())), (F.col("loaded") == load_id).alias("fresh"), F.lit(True).alias("held"),
+        )
+        gone = replaced.select(*CUSTOMER, F.lit(False).alias("fresh"), F.lit(False).alias("held"))
+        found = own.unionByName(gone, allowMissingColumns=True).groupBy(*CUSTOMER).agg(
+            F.bool_or("held").alias("held"), F.bool_or("fresh").alias("fresh"), F.bool_or(~F.col("held")).alias("anew"),
+            *(F.max(c).alias(f"all_{n}") for n, c in MAXIMA.items()), *(F.max(F.when(F.col("fresh"), F.col(c))).alias(f"own_{n}") for n, c in MAXIMA.items()),
+        )
+        tops = [F.when(F.col("anew"), F.col(f"all_{n}")).otherwise(F.col(f"own_{n}")).alias(n) for n in MAXIMA]
+        out = found.where("held and (anew or fresh)").select(*CUSTOMER, *tops, "anew")
         out.write.mode("overwrite").parquet(f"{self.base}/parts/maxima/load_id={load_id}")
 
     # ------------------------------------------------------------ merged on read

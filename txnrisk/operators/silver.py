@@ -55,6 +55,12 @@ def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def few_ids(ids: DataFrame) -> DataFrame:
+    """Stored ids for a semi or anti join of wide rows: sent to every task, which leaves the rows where they
+    are; where they are too many, the rows are shuffled, but not sorted."""
+    return F.broadcast(ids) if planned_bytes(ids) <= REPEATED_BYTES else ids.hint("shuffle_hash")
+
+
 def split_valid(df: DataFrame, strict_reference: bool = False) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows). Every row is in exactly one of the two.
 

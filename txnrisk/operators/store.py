@@ -16,9 +16,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnrisk.operators.silver import keep_one
+from txnrisk.operators.silver import few_ids, keep_one
 from txnrisk.sources.files import by_partition, read_or_empty, remove
-from txnrisk.storage import BROADCAST_BYTES, planned_bytes
+from txnrisk.storage import BROADCAST_BYTES, open_folders, planned_bytes, stored
 
 #: Bitmaps of a day; each has 32,768 bits, so that a day of a million ids fills them by less than a half.
 BUCKETS = 64
@@ -88,27 +88,32 @@ class EventStore:
         if first_day:
             rows = rows.where(F.col("day") >= F.lit(first_day).cast("date"))
         order = [F.col(version).desc_nulls_last(), F.xxhash64(*rows.columns)]
-        rows = keep_one(rows, ["event_id"], order)
         incoming = f"{self.base}/incoming/batch_id={batch_id}"
-        rows.write.mode("overwrite").parquet(incoming)
-        rows = spark.read.schema(schema).parquet(incoming)
+        rows.write.mode("overwrite").parquet(f"{incoming}/all")
+        rows = spark.read.schema(schema).parquet(f"{incoming}/all")
+        # Ids are looked at first, and only by themselves: whole rows aren't shuffled to be compared.
+        again = stored(rows.groupBy("event_id").count().where("count > 1").select("event_id"), "repeated-ids")
+        if again.head(1):
+            once, copies = (rows.join(few_ids(again), "event_id", how).select(*schema.names) for how in ("left_anti", "left_semi"))
+            once.unionByName(keep_one(copies, ["event_id"], order)).write.mode("overwrite").parquet(f"{incoming}/once")
+            rows = spark.read.schema(schema).parquet(f"{incoming}/once")
 
         held = self.days(spark, batch_id)
-        asked = self.may_hold(rows, self.manifest(spark, batch_id)).select("event_id", F.col("day").alias("held")).distinct()
-        maybe = [r.held for r in asked.select("held").distinct().collect()]
+        maybe = [r.day for r in self.may_hold(rows, self.manifest(spark, batch_id)).select("day").distinct().collect()]
         ids = self.read(spark, schema, {d: held[d] for d in maybe}).select("event_id", "day")
-        holders = ids.join(asked, (ids.event_id == asked.event_id) & (ids.day == asked.held), "left_semi").select("day").distinct()
-        touched = {r.day for r in holders.union(rows.select("day").distinct()).distinct().collect()}
+        hits = stored(ids.join(rows.select("event_id"), "event_id", "left_semi").select("event_id", "day"), "replaced-ids")
+        touched = {r.day for r in hits.select("day").union(rows.select("day")).distinct().collect()}
         old = self.read(spark, schema, {d: held[d] for d in touched if d in held})
-        replaced = old.join(rows.select("event_id"), "event_id", "left_semi").select(*schema.names)
+        replaced = old.join(few_ids(hits.select("event_id")), "event_id", "left_semi").select(*schema.names)
         gone = f"{self.base}/replaced/batch_id={batch_id}"
         replaced.write.mode("overwrite").parquet(gone)
 
-        kept = old.join(rows.select("event_id"), "event_id", "left_anti").select(*schema.names)
+        kept = old.join(few_ids(hits.select("event_id")), "event_id", "left_anti").select(*schema.names)
         if first_day:
             kept = kept.where(F.col("day") >= F.lit(first_day).cast("date"))
         target = f"{self.data}/batch_id={batch_id}"
-        by_partition(kept.unionByName(rows), ["day"]).write.mode("overwrite").partitionBy("day").parquet(target)
+        with open_folders(spark):
+            by_partition(kept.unionByName(rows), ["day"]).write.mode("overwrite").partitionBy("day").parquet(target)
         self._write_manifest(spark, schema, batch_id, touched, {d for d in held if first_day and d.isoformat() < first_day})
         remove(spark, incoming)
         return spark.read.schema(schema).parquet(gone)
