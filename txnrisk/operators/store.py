@@ -16,13 +16,13 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnrisk.operators.silver import few_ids, keep_one
+from txnrisk.operators.silver import BITMAP_BITS, REPEATED_BYTES, bit_at, keep_one, sifted, split_by_ids
 from txnrisk.sources.files import by_partition, read_or_empty, remove
-from txnrisk.storage import BROADCAST_BYTES, open_folders, planned_bytes, stored
+from txnrisk.storage import BROADCAST_BYTES, held_within, open_folders, stored
 
 #: Bitmaps of a day; each has 32,768 bits, so that a day of a million ids fills them by less than a half.
 BUCKETS = 64
-BITS = 32_768
+BITS = BITMAP_BITS
 MANIFEST = "day date, bucket bigint, bits binary, rows bigint, batch_id bigint"
 
 
@@ -30,12 +30,6 @@ def _place(event_id: str) -> Column:
     return F.pmod(F.xxhash64(event_id), F.lit(BUCKETS * BITS))
 
 
-def _bit(bits: str, place: Column) -> Column:
-    """The bit of a bitmap at a place, numbered as ``bitmap_construct_agg`` does."""
-    byte = F.conv(F.hex(F.substring(F.col(bits), F.floor(place % BITS / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return byte.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int"))
-
-
 @dataclass
 class EventStore:
     """Current events below ``base``, one row per ``event_id``, in folders by ``day``."""
@@ -73,8 +67,8 @@ class EventStore:
     def may_hold(self, ids: DataFrame, manifest: DataFrame) -> DataFrame:
         """(event_id, day) of the days whose bitmap has the id's bit: every day that holds it, and few others."""
         asked = ids.select("event_id", _place("event_id").alias("place")).withColumn("bucket", F.floor(F.col("place") / BITS))
-        manifest = F.broadcast(manifest) if planned_bytes(manifest) <= BROADCAST_BYTES else manifest
-        return asked.join(manifest.select("day", "bucket", "bits"), "bucket").where(_bit("bits", F.col("place")) != 0).select("event_id", "day")
+        manifest = F.broadcast(manifest) if held_within(manifest, BROADCAST_BYTES) else manifest
+        return asked.join(manifest.select("day", "bucket", "bits"), "bucket").where(bit_at("bits", F.col("place")) != 0).select("event_id", "day")
 
     def upsert(self, rows: DataFrame, batch_id: int, first_day: str | None = None, version: str = "processed_at") -> DataFrame:
         """Take in a batch with columns ``event_id``, ``day`` and others; returns the rows it replaced, as they were.
@@ -94,7 +88,7 @@ class EventStore:
         # Ids are looked at first, and only by themselves: whole rows aren't shuffled to be compared.
         again = stored(rows.groupBy("event_id").count().where("count > 1").select("event_id"), "repeated-ids")
         if again.head(1):
-            once, copies = (rows.join(few_ids(again), "event_id", how).select(*schema.names) for how in ("left_anti", "left_semi"))
+            copies, once = split_by_ids(rows, again) if held_within(again, REPEATED_BYTES) else sifted(rows, again)
             once.unionByName(keep_one(copies, ["event_id"], order)).write.mode("overwrite").parquet(f"{incoming}/once")
             rows = spark.read.schema(schema).parquet(f"{incoming}/once")
 
@@ -104,11 +98,10 @@ class EventStore:
         hits = stored(ids.join(rows.select("event_id"), "event_id", "left_semi").select("event_id", "day"), "replaced-ids")
         touched = {r.day for r in hits.select("day").union(rows.select("day")).distinct().collect()}
         old = self.read(spark, schema, {d: held[d] for d in touched if d in held})
-        replaced = old.join(few_ids(hits.select("event_id")), "event_id", "left_semi").select(*schema.names)
+        replaced, kept = split_by_ids(old, hits.select("event_id"))
         gone = f"{self.base}/replaced/batch_id={batch_id}"
         replaced.write.mode("overwrite").parquet(gone)
 
-        kept = old.join(few_ids(hits.select("event_id")), "event_id", "left_anti").select(*schema.names)
         if first_day:
             kept = kept.where(F.col("day") >= F.lit(first_day).cast("date"))
         target = f"{self.data}/batch_id={batch_id}"
