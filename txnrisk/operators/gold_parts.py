@@ -149,7 +149,7 @@ class GoldParts:
     def _customers(self, spark: SparkSession) -> DataFrame:
         sums, tops = self.parts(spark, "customer").alias("p"), self.maxima(spark).alias("m")
         same = F.expr(" and ".join(f"p.{c} <=> m.{c}" for c in CUSTOMER))
-        found = sums.join(tops, same).select(
+        found = sums.join(tops.hint("merge"), same).select(  # neither side's packed size tells how much a driver would hold
             *(F.col(f"p.{c}").alias(c) for c in CUSTOMER), F.col("n").alias("total_transactions"),
             F.col("sum_is_fraud").alias("confirmed_fraud_count"), F.col("sum_geo_anomaly_flag").alias("geo_anomaly_count"),
             F.col("sum_new_device_flag").alias("new_device_count"), F.col("sum_duplicate_event_flag").alias("duplicate_event_count"),

@@ -16,7 +16,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from txnrisk.operators.silver import BITMAP_BITS, REPEATED_BYTES, bit_at, keep_one, sifted, split_by_ids
+from txnrisk.operators.silver import BITMAP_BITS, REPEATED_BYTES, bit_at, few_ids, keep_one, sifted, split_by_ids
 from txnrisk.sources.files import by_partition, read_or_empty, remove
 from txnrisk.storage import BROADCAST_BYTES, held_within, open_folders, stored
 
@@ -93,9 +93,9 @@ class EventStore:
             rows = spark.read.schema(schema).parquet(f"{incoming}/once")
 
         held = self.days(spark, batch_id)
-        maybe = [r.day for r in self.may_hold(rows, self.manifest(spark, batch_id)).select("day").distinct().collect()]
+        maybe = [r.day for r in self.may_hold(rows, self.manifest(spark, batch_id)).select("day").distinct().collect()] if held else []
         ids = self.read(spark, schema, {d: held[d] for d in maybe}).select("event_id", "day")
-        hits = stored(ids.join(rows.select("event_id"), "event_id", "left_semi").select("event_id", "day"), "replaced-ids")
+        hits = stored(ids.join(few_ids(rows.select("event_id"), "merge"), "event_id", "left_semi").select("event_id", "day"), "replaced-ids")
         touched = {r.day for r in hits.select("day").union(rows.select("day")).distinct().collect()}
         old = self.read(spark, schema, {d: held[d] for d in touched if d in held})
         replaced, kept = split_by_ids(old, hits.select("event_id"))

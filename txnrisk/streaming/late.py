@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from txnrisk.functions.columns import ntz_literal
 from txnrisk.operators import ledger
+from txnrisk.operators.silver import few_ids
 from txnrisk.sources.files import read_or_empty
 from txnrisk.storage import observed
 from txnrisk.streaming.online import days_of, write_batch
@@ -100,7 +101,7 @@ class LateAwareDedup(LateAware):
         known = known.select("event_id", F.col("arrival_time").alias("before"))
         gap = F.abs(F.unix_micros(F.col("arrival_time").cast("timestamp")) - F.unix_micros(F.col("before").cast("timestamp")))
         near = F.coalesce(gap <= self.delay * 1_000_000, F.lit(True))
-        return first.join(known.withColumnRenamed("event_id", "id"), (F.col("event_id") == F.col("id")) & near, "left_anti")
+        return first.join(few_ids(known.withColumnRenamed("event_id", "id"), "merge"), (F.col("event_id") == F.col("id")) & near, "left_anti")
 
     def _write(self, out: DataFrame, batch_id: int) -> None:
         write_batch(out, self.path("events"), batch_id, ["late", "day"])
